@@ -46,7 +46,7 @@ def warning_streaks(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
     ).drop("_island")
 
 
-def changes(parts: DataFrame, keys: Sequence[str], order: Sequence[str], recent: int = 10,
+def changes(parts: DataFrame, keys: Sequence[str], order: Sequence[str], recent: int = 5,
             version: str = "model_version", level: str = "level") -> DataFrame:
     """Adds previous level, whether it got worse, comparability and recent high count.
 
