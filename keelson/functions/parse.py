@@ -14,12 +14,13 @@ from pyspark.sql import types as T
 BLANKS = " \t\n\r\f\v\u00a0\u2003\u3000"
 TRUE_WORDS = ("yes", "y", "1", "true", "t")
 FALSE_WORDS = ("no", "n", "0", "false", "f")
-MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 ISO_DAY = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 US_DAY = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
-NAMED_DAY = r"^([0-9]{1,2})-([A-Za-z]{3})-([0-9]{4})$"
-NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+NAMED_DAY = r"^([0-9]{1,2})-([a-z]{3})-([0-9]{4})$"
+MARK = "\u0001"
+NUMBER = r"^[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?$"
 INFINITE = r"^[+-]?(?i:inf|infinity)$"
 
 
@@ -40,14 +41,22 @@ def blank_as_null(text: Column) -> Column:
     return F.when(trimmed(text) != "", text)
 
 
+def whole_match(text: Column, pattern: str) -> Column:
+    """The text if the pattern matches all of it, else empty text."""
+    return F.regexp_extract(text, pattern, 0)
+
+
 def money(text: Column) -> Column:
     bare = F.regexp_replace(text, r"(?U)[$,\s]", "")
-    return F.when(bare.rlike(r"^-?[0-9]+([.][0-9]+)?$"), bare).cast("double")
+    return whole_match(bare, r"^-?[0-9]+(?:[.][0-9]+)?$").try_cast("double")
 
 
 def boolean(text: Column) -> Column:
-    word = F.lower(trimmed(text))
-    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
+    meaning = F.create_map(*[
+        F.lit(x) for words_, value in ((TRUE_WORDS, True), (FALSE_WORDS, False))
+        for word in words_ for x in (word, value)
+    ])
+    return F.try_element_at(meaning, F.lower(trimmed(text)))
 
 
 def day(text: Column) -> Column:
@@ -55,27 +64,18 @@ def day(text: Column) -> Column:
 
     The three shapes cannot be confused, so each is rearranged to year-month-day
     and read by one cast, which gives null for days the calendar does not have.
+    Every step uses the one before it once, which keeps the expression small
+    when it is copied into filters.
     """
-    raw = trimmed(text)
-    place = F.instr(F.lit(MONTHS), F.lower(F.regexp_extract(raw, NAMED_DAY, 2)))
-    month = F.when(place % 3 == 1, F.floor((place + 2) / 3).cast("string"))
-    named = F.concat_ws(
-        "-",
-        F.regexp_extract(raw, NAMED_DAY, 3),
-        month,
-        F.regexp_extract(raw, NAMED_DAY, 1),
-    )
-    ordered = (
-        F.when(raw.rlike(ISO_DAY), raw)
-        .when(raw.rlike(US_DAY), F.regexp_replace(raw, US_DAY, "$3-$1-$2"))
-        .when(raw.rlike(NAMED_DAY) & month.isNotNull(), named)
-    )
-    return ordered.try_cast("date")
+    ordered = F.regexp_replace(F.lower(trimmed(text)), US_DAY, "$3-$1-$2")
+    ordered = F.regexp_replace(ordered, NAMED_DAY, f"$3-{MARK}$2-$1")
+    for number_, name in enumerate(MONTHS, start=1):
+        ordered = F.replace(ordered, F.lit(MARK + name), F.lit(str(number_)))
+    return whole_match(ordered, ISO_DAY).try_cast("date")
 
 
 def zipcode(text: Column) -> Column:
-    digits = trimmed(text)
-    return F.when(digits.rlike("^[0-9]{5}$"), digits)
+    return F.nullif(whole_match(trimmed(text), "^[0-9]{5}$"), F.lit(""))
 
 
 def words(text: Column) -> Column:
@@ -90,8 +90,7 @@ def number(text: Column) -> Column:
     The shape is checked first because a bare cast also reads suffixed forms
     such as ``1d``.
     """
-    raw = trimmed(text)
-    return F.when(raw.rlike(NUMBER) | raw.rlike(INFINITE), raw).try_cast("double")
+    return whole_match(trimmed(text), f"{NUMBER}|{INFINITE}").try_cast("double")
 
 
 def moment(text: Column) -> Column:
@@ -107,12 +106,14 @@ def moment_day(text: Column) -> Column:
 
 
 def clip(value: Column, low: float | None, high: float | None) -> Column:
-    bounded = value
-    if low is not None:
-        bounded = F.greatest(bounded, F.lit(float(low)))
-    if high is not None:
-        bounded = F.least(bounded, F.lit(float(high)))
-    return F.when(value.isNotNull() & ~F.isnan(value), bounded)
+    """Pulls a number into its bounds; null stays null and NaN becomes null."""
+    readable = F.nanvl(value, F.lit(None).cast("double"))
+    bounded = None
+    for beyond, bound in ((lambda v, x: v < x, low), (lambda v, x: v > x, high)):
+        if bound is not None:
+            line = F.lit(float(bound))
+            bounded = (F if bounded is None else bounded).when(beyond(readable, line), line)
+    return readable if bounded is None else bounded.otherwise(readable)
 
 
 def outside(value: Column, low: float | None, high: float | None) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.operators import clean, ranking, splits
+from keelson.session import materialize
 from keelson.spec import TableSpec
 
 FILE_ORDER = ("_file", "_row")
@@ -52,23 +53,31 @@ def sample_key(seed: int, key: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
 
 
-def sample_filter(keys: DataFrame, n: int, seed: int, key: Column) -> Column:
-    """The predicate that keeps exactly the ``n`` rows with the smallest draws.
+def _draw_digest(seed: int, key: Column) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
+
+
+def sample_cut(keys: DataFrame, n: int, seed: int, key: Column) -> tuple[float, str]:
+    """The draw, and the digest among equal draws, of the last row of a sample of ``n``.
 
     ``keys`` only needs the columns of ``key``, which must tell rows apart.  The
-    cut is an order statistic, so rows are filtered and never sorted or sent
-    through one task.
+    cut is an order statistic, so rows are never sorted or sent through one task.
     """
-    draw, digest = sample_key(seed, key), F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
+    draw = sample_key(seed, key)
     cut = ranking.kth_smallest(keys, draw, n - 1)
     below = keys.where(draw < cut).count()
     # Rows that share 52 hash bits: one row, or a few at very large sizes.
-    ties = keys.where(draw == cut).groupBy(digest.alias("digest")).count()
+    ties = keys.where(draw == cut).groupBy(_draw_digest(seed, key).alias("digest")).count()
     last = ties.orderBy("digest").limit(n - below).agg(
         F.max("digest").alias("last"), F.max("count").alias("repeats")).first()
     if last["repeats"] > 1:
         raise ValueError("the sample key repeats, give one that tells rows apart")
-    return (draw < cut) | ((draw == cut) & (digest <= F.lit(last["last"])))
+    return cut, last["last"]
+
+
+def drawn_within(seed: int, key: Column, cut: float, last: str) -> Column:
+    draw = sample_key(seed, key)
+    return (draw < cut) | ((draw == cut) & (_draw_digest(seed, key) <= F.lit(last)))
 
 
 def sample_exact(df: DataFrame, n: int | None, seed: int, key: Column,
@@ -83,7 +92,7 @@ def sample_exact(df: DataFrame, n: int | None, seed: int, key: Column,
         raise ValueError(f"sample size must be positive, got {n}")
     if n >= (df.count() if available is None else available):
         return df
-    return df.where(sample_filter(df, n, seed, key))
+    return df.where(drawn_within(seed, key, *sample_cut(df, n, seed, key)))
 
 
 def sample_with_replacement(df: DataFrame, n: int, seed: int, order: Sequence[Column]) -> DataFrame:
@@ -157,15 +166,17 @@ def plan_rows(df: DataFrame, spec: TableSpec, task: str, rules: dict, sample_row
         *[c for c in df.columns if c == "row_key"],
     ]))
     total = df.count()
-    counts = plan_counts(flag_rows(light, spec, task, rules, order), total).first().asDict()
+    # A row without an id is still one row after deduplication.
+    key = F.coalesce(F.col(spec.id_column).cast("string"), F.lit(""))
+    placed = materialize(
+        flag_rows(light, spec, task, rules, order).select(key.alias("key"), "set_name"), "plan")
+    counts = plan_counts(placed, total).first().asDict()
     flagged = flag_rows(df, spec, task, rules, order)
     train = flagged.where(F.col("set_name") == splits.TRAIN)
     if sample_rows is not None and sample_rows < counts["train_available"]:
-        names = flag_rows(light, spec, task, rules, order).where(
-            F.col("set_name") == splits.TRAIN)
-        # A row without an id is still one row after deduplication.
-        key = F.coalesce(F.col(spec.id_column).cast("string"), F.lit(""))
-        train = train.where(sample_filter(names, sample_rows, seed, key))
+        names = placed.where(F.col("set_name") == splits.TRAIN)
+        draw, digest = sample_cut(names, sample_rows, seed, F.col("key"))
+        train = train.where(drawn_within(seed, key, draw, digest))
     return SetPlan(
         train.drop("set_name"),
         flagged.where(F.col("set_name") == splits.TEST).drop("set_name"),

@@ -86,12 +86,14 @@ def split_name(df: DataFrame, spec: TableSpec, rules: Mapping[str, Mapping]) ->
         t1 = _literal_moment(rule["t1"])
         t2 = _literal_moment(rule.get("t2"))
         undated = float(rule.get("undated_test_share", UNDATED_TEST_SHARE))
-        place = (
-            F.when(when_.isNull(), F.when(share < undated, TEST).otherwise(TRAIN))
-            .when(when_ < t1, TRAIN)
+        steps = (when_ >= t1).cast("int")
+        if t2 is not None:
+            steps = steps + (when_ >= t2).cast("int")
+        # No moment gives no step count, and so falls through to the hash rule.
+        place = F.coalesce(
+            F.element_at(F.array(F.lit(TRAIN), F.lit(TEST), F.lit(SIMULATION)), steps + 1),
+            F.when(share < undated, TEST).otherwise(TRAIN),
         )
-        place = place.otherwise(TEST) if t2 is None else place.when(
-            when_ < t2, TEST).otherwise(SIMULATION)
         chosen = (F if chosen is None else chosen).when(source == name, place)
     unknown = F.raise_error(F.concat(F.lit("no split rule for record source "), source))
     return unknown.cast("string") if chosen is None else chosen.otherwise(unknown.cast("string"))

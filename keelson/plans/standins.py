@@ -97,7 +97,7 @@ HOUSE_RULES = {
     "distance_to_city_center_km": _text("l_quantity - 3"),
     "condition": _choose("(l_suppkey + l_partkey) % 6",
                          ["Poor", "FAIR", "good", "Excellent", "unknown", ""]),
-    "days_on_market": _text(_int("l_quantity * 2")),
+    "days_on_market": _text(_int("floor(l_quantity * 2)")),
     "list_price": f"CASE WHEN l_orderkey % 20 = 0 THEN {_price('ask')} ELSE {_text('ask')} END",
     "sale_price": "CASE WHEN l_partkey % 211 = 0 THEN 'call for price' WHEN l_partkey % 223 = 0 "
                   f"THEN '' WHEN l_orderkey % 33 = 0 THEN {_price('sold')} "
@@ -147,7 +147,7 @@ _ISO = ("{0} || '-' || {1} || '-' || {2} || 'T' || {3} || ':' || {4} || ':' || {
 FEEDBACK_RULES = {
     "property_id": f"'p' || {_text('event_id % 5000')}",
     "listing_date": "CASE WHEN event_id % 2 = 0 THEN '01/15/2024' END",
-    "sale_price": _text(_int("coalesce(value, 1) * 1000")),
+    "sale_price": _text(_int("floor(coalesce(value, 1) * 1000)")),
     "record_source": "'feedback'",
     "predicted_at": f"CASE WHEN event_id % 50 = 0 THEN 'garbage' WHEN event_id % 3 = 0 THEN "
                     f"{_ISO} || '+02:00' ELSE {_ISO} END",
