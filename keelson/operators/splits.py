@@ -89,9 +89,10 @@ def split_name(df: DataFrame, spec: TableSpec, rules: Mapping[str, Mapping]) ->
         steps = (when_ >= t1).cast("int")
         if t2 is not None:
             steps = steps + (when_ >= t2).cast("int")
-        # No moment gives no step count, and so falls through to the hash rule.
+        # No moment gives no step count, and so falls through to the hash rule.  The
+        # strict element_at is declared never null and would hide that.
         place = F.coalesce(
-            F.element_at(F.array(F.lit(TRAIN), F.lit(TEST), F.lit(SIMULATION)), steps + 1),
+            F.try_element_at(F.array(F.lit(TRAIN), F.lit(TEST), F.lit(SIMULATION)), steps + 1),
             F.when(share < undated, TEST).otherwise(TRAIN),
         )
         chosen = (F if chosen is None else chosen).when(source == name, place)
