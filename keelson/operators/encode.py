@@ -193,15 +193,21 @@ def encoder_stages(df: DataFrame, encoding: Encoding) -> list:
     stages: list = [fill]
     hot = []
     if categorical:
-        labels = [encoding.kept[c] + ([RARE] if encoding.has_rare[c] else []) for c in categorical]
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            labels, [f"c_{c}" for c in categorical], [f"i_{c}" for c in categorical], "keep")
+        # One indexer per column: label lists of different lengths cannot share one.
+        indexers = [
+            StringIndexerModel.from_labels(
+                encoding.kept[c] + ([RARE] if encoding.has_rare[c] else []),
+                f"c_{c}", f"i_{c}", "keep")
+            for c in categorical
+        ]
         hot = [f"h_{c}" for c in categorical]
         encoder = OneHotEncoder(inputCols=[f"i_{c}" for c in categorical], outputCols=hot,
                                 dropLast=True, handleInvalid="error")
         # Sizes come from the indexer's column metadata, so this reads no rows.
-        encoder = encoder.fit(indexer.transform(fill.transform(df)))
-        stages += [indexer, encoder]
+        indexed = fill.transform(df)
+        for indexer in indexers:
+            indexed = indexer.transform(indexed)
+        stages += [*indexers, encoder.fit(indexed)]
     return [*stages, VectorAssembler(inputCols=[*numeric, *hot], outputCol="features")]
 
 
