@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 # Characters stripped as blank space, boolean words, month names.
 BLANKS = " \t\n\r\f\v\u00a0\u2003\u3000"
+BLANK_RUN = f"[{BLANKS}]{{2,}}|[{BLANKS[1:]}]"
 TRUE_WORDS = ("yes", "y", "1", "true", "t")
 FALSE_WORDS = ("no", "n", "0", "false", "f")
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -47,8 +48,8 @@ def whole_match(text: Column, pattern: str) -> Column:
 
 
 def money(text: Column) -> Column:
-    bare = F.regexp_replace(text, r"(?U)[$,\s]", "")
-    return whole_match(bare, r"^-?[0-9]+(?:[.][0-9]+)?$").try_cast("double")
+    bare = F.translate(text, "$," + BLANKS, "")
+    return F.when(bare.rlike(r"^-?[0-9]+(?:[.][0-9]+)?$"), bare).cast("double")
 
 
 def boolean(text: Column) -> Column:
@@ -80,7 +81,8 @@ def zipcode(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower case, ``_`` and ``-`` as spaces, single spaces, no empty text."""
-    spaced = F.regexp_replace(F.translate(F.lower(text), "_-", "  "), r"(?U)\s+", " ")
+    # Single plain spaces are left alone, so clean text matches nothing.
+    spaced = F.regexp_replace(F.translate(F.lower(text), "_-", "  "), BLANK_RUN, " ")
     return F.nullif(trimmed(spaced), F.lit(""))
 
 
@@ -90,7 +92,8 @@ def number(text: Column) -> Column:
     The shape is checked first because a bare cast also reads suffixed forms
     such as ``1d``.
     """
-    return whole_match(trimmed(text), f"{NUMBER}|{INFINITE}").try_cast("double")
+    raw = trimmed(text)
+    return F.when(raw.rlike(f"{NUMBER}|{INFINITE}"), raw).try_cast("double")
 
 
 def moment(text: Column) -> Column:

@@ -55,40 +55,57 @@ def clean_table(
     split_date: bool = True,
     numeric_booleans: bool = False,
 ) -> DataFrame:
-    """Reads every catalog column of ``df`` in one projection.
+    """Reads, clips and splits every catalog column of ``df``.
 
     Columns outside the catalog pass through; catalog columns that ``df`` does
     not have are skipped.  With ``split_date`` the date becomes year and month;
     ``numeric_booleans`` gives 1.0 / 0.0, the form drift statistics need.
     """
+    return finish_columns(read_columns(df, spec), spec, clip=clip, split_date=split_date,
+                          numeric_booleans=numeric_booleans)
+
+
+def read_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Every catalog column read by the parser of its kind, nothing else changed."""
+    return df.select(*[
+        read_as(spec[f.name].kind, F.col(f.name), f.dataType).alias(f.name)
+        if f.name in spec else F.col(f.name) for f in df.schema.fields
+    ])
+
+
+def finish_columns(read: DataFrame, spec: TableSpec, *, clip: bool = True,
+                   split_date: bool = True, numeric_booleans: bool = False) -> DataFrame:
+    """Clips and splits columns that are already read.
+
+    A projection of its own on purpose: clipping names its input several times,
+    and Spark only computes that input once if it is a column below.
+    """
     columns: list[Column] = []
-    for fld in df.schema.fields:
-        name = fld.name
-        if name not in spec:
-            columns.append(F.col(name))
-            continue
-        column = spec[name]
-        value = read_as(column.kind, F.col(name), fld.dataType)
-        if clip and column.bounded:
-            value = parse.clip(value, column.min_value, column.max_value)
-        if numeric_booleans and column.kind == "boolean":
-            value = value.cast("double")
-        if split_date and name == spec.date_column:
-            year, month = spec.date_parts
-            columns += [F.year(value).alias(year), F.month(value).alias(month)]
-        else:
-            columns.append(value.alias(name))
-    return df.select(*columns)
+    for name in read.columns:
+        value = F.col(name)
+        if name in spec:
+            column = spec[name]
+            if clip and column.bounded:
+                value = parse.clip(value, column.min_value, column.max_value)
+            if numeric_booleans and column.kind == "boolean":
+                value = value.cast("double")
+            if split_date and name == spec.date_column:
+                year, month = spec.date_parts
+                columns += [F.year(value).alias(year), F.month(value).alias(month)]
+                continue
+        columns.append(value.alias(name))
+    return read.select(*columns)
 
 
 def clip_outliers(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Pulls bounded columns into their bounds; unreadable values become null."""
-    changed = {}
-    for fld in df.schema.fields:
-        if fld.name in spec and spec[fld.name].bounded:
-            value = read_as("numeric", F.col(fld.name), fld.dataType)
-            changed[fld.name] = parse.clip(value, spec[fld.name].min_value, spec[fld.name].max_value)
-    return df.withColumns(changed)
+    bounded = [f for f in df.schema.fields if f.name in spec and spec[f.name].bounded]
+    read = df.withColumns({
+        f.name: read_as("numeric", F.col(f.name), f.dataType) for f in bounded})
+    return read.withColumns({
+        f.name: parse.clip(F.col(f.name), spec[f.name].min_value, spec[f.name].max_value)
+        for f in bounded
+    })
 
 
 def date_features(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -97,7 +114,9 @@ def date_features(df: DataFrame, spec: TableSpec) -> DataFrame:
         return df
     value = read_as("date", F.col(spec.date_column), df.schema[spec.date_column].dataType)
     year, month = spec.date_parts
-    return df.withColumns({year: F.year(value), month: F.month(value)}).drop(spec.date_column)
+    day = F.col(spec.date_column)
+    return df.withColumn(spec.date_column, value).withColumns(
+        {year: F.year(day), month: F.month(day)}).drop(spec.date_column)
 
 
 def blanks_as_null(df: DataFrame) -> DataFrame:

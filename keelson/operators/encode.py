@@ -68,34 +68,29 @@ class RawFeatures(_JsonStage):
         setup = self.settings()
         spec, task = spec_from_json(setup["spec"]), setup["task"]
         numeric, categorical = spec.encoded_features(task)
-        read = dict(zip(*_cleaned_columns(df, spec), strict=True))
-        wanted = [
-            (read[c].cast("double") if c in read else F.lit(None).cast("double")).alias(f"x_{c}")
-            for c in numeric
-        ] + [
-            (read[c] if c in read else F.lit(None).cast("string")).alias(f"x_{c}")
-            for c in categorical
-        ]
-        return df.select("*", *wanted)
-
-
-def _cleaned_columns(df: DataFrame, spec: TableSpec) -> tuple[list[str], list]:
-    names, columns = [], []
-    for fld in df.schema.fields:
-        if fld.name not in spec:
-            continue
-        column = spec[fld.name]
-        value = clean.read_as(column.kind, F.col(fld.name), fld.dataType)
-        if column.bounded:
-            value = clean.parse.clip(value, column.min_value, column.max_value)
-        if fld.name == spec.date_column:
-            year, month = spec.date_parts
-            names += [year, month]
-            columns += [F.year(value), F.month(value)]
-        else:
-            names.append(fld.name)
-            columns.append(value)
-    return names, columns
+        # Copies under other names, so ids and labels stay as they were sent.
+        held = df.columns
+        copies = df.select("*", *[
+            clean.read_as(spec[c].kind, F.col(c), df.schema[c].dataType).alias(f"_read_{c}")
+            for c in held if c in spec
+        ])
+        finished = {}
+        for c in held:
+            if c not in spec:
+                continue
+            value = F.col(f"_read_{c}")
+            if c == spec.date_column:
+                year, month = spec.date_parts
+                finished |= {year: F.year(value), month: F.month(value)}
+            elif spec[c].bounded:
+                finished[c] = clean.parse.clip(value, spec[c].min_value, spec[c].max_value)
+            else:
+                finished[c] = value
+        return copies.select(
+            *held,
+            *[finished.get(c, F.lit(None)).cast("double").alias(f"x_{c}") for c in numeric],
+            *[finished.get(c, F.lit(None)).cast("string").alias(f"x_{c}") for c in categorical],
+        )
 
 
 @dataclass

@@ -14,6 +14,7 @@ avoid that:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -73,26 +74,36 @@ def order_statistics(
         open_ranges = _narrow(longs, still, bins)
 
 
+def _way(rng: _Range) -> str:
+    """How a range is cut: infinite ends apart, few rows by value, else equal widths."""
+    if math.isinf(rng.low) or math.isinf(rng.high):
+        return "ends"
+    if rng.rows <= FINISH_ROWS or rng.high / 2 - rng.low / 2 == 0:
+        return "values"
+    return "bins"
+
+
 def _narrow(longs: DataFrame, ranges: list[_Range], bins: int) -> list[_Range]:
     spark = longs.sparkSession
     table = spark.createDataFrame(
-        [(i, r.column, r.low, r.high) for i, r in enumerate(ranges)],
-        "range_id int, column string, low double, high double",
+        [(i, r.column, r.low, r.high, _way(r)) for i, r in enumerate(ranges)],
+        "range_id int, column string, low double, high double, way string",
     )
-    width = F.col("high") - F.col("low")
-    place = F.floor((F.col("value") / width - F.col("low") / width) * bins)
-    exact = F.array(*[F.lit(r.rows <= FINISH_ROWS) for r in ranges])
+    # Halved first, so that the widest finite range does not overflow.
+    place = F.floor((F.col("value") / 2 - F.col("low") / 2)
+                    / F.nullif(F.col("high") / 2 - F.col("low") / 2, F.lit(0.0)) * bins)
+    ends = F.when(F.col("value") == float("inf"), 2).when(
+        F.col("value") == float("-inf"), 0).otherwise(1)
     # One row per open range, at most one range per asked rank: always broadcast.
     inside = longs.join(F.broadcast(table), "column").where(
         (F.col("value") >= F.col("low")) & (F.col("value") <= F.col("high"))
     )
     counted = (
-        inside.withColumn("whole", F.element_at(exact, F.col("range_id") + 1))
-        .groupBy(
+        inside.groupBy(
             "range_id",
-            F.when(F.col("whole"), F.lit(0)).otherwise(
-                F.least(place, F.lit(bins - 1)).cast("int")).alias("bin"),
-            F.when(F.col("whole"), F.col("value")).alias("exact"),
+            F.when(F.col("way") == "bins", F.least(place, F.lit(bins - 1)).cast("int"))
+            .when(F.col("way") == "ends", ends).alias("bin"),
+            F.when(F.col("way") == "values", F.col("value")).alias("exact"),
         )
         .agg(F.count("value").alias("rows"), F.min("value").alias("low"),
              F.max("value").alias("high"))

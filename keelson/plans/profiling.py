@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import clean, profile
 from keelson.plans import standins as S
-from keelson.plans.registry import query, table
+from keelson.plans.registry import query, rows_of
 from keelson.spec import NUMBER_KINDS
 
 
@@ -84,13 +84,13 @@ def _rounded(df):
 
 @query("A5", _numeric_sql("lineitem", _MEASURES))
 def numeric_profile(spark, folder):
-    return _rounded(profile.numeric_profile(table(spark, folder, "lineitem"), _MEASURES))
+    return _rounded(profile.numeric_profile(rows_of(spark, folder, "lineitem"), _MEASURES))
 
 
 @query("A5", _numeric_sql("lineitem", _MEASURES))
 def numeric_profile_by_order_statistics(spark, folder):
     """The same numbers the way very large tables get them."""
-    return _rounded(profile.numeric_profile(table(spark, folder, "lineitem"), _MEASURES, small=0))
+    return _rounded(profile.numeric_profile(rows_of(spark, folder, "lineitem"), _MEASURES, small=0))
 
 
 def _histogram_sql(source: str, columns: list[str], bins: int) -> str:
@@ -112,7 +112,7 @@ GROUP BY b, lo, hi""")
 
 @query("A6", _histogram_sql("lineitem", ["l_quantity", "l_extendedprice"], 20))
 def histograms(spark, folder):
-    binned = profile.histogram(table(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"])
+    binned = profile.histogram(rows_of(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"])
     return binned.select("column", "bin", F.round("low", 6).alias("low"),
                          F.round("high", 6).alias("high"), "n")
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keelson.session import spread
+
 
 @dataclass(frozen=True)
 class Query:
@@ -46,3 +48,8 @@ def load_all() -> dict[str, Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def rows_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table dealt out to all cores, for work that does not depend on file order."""
+    return spread(table(spark, folder, name))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import feedback, history, metrics
 from keelson.plans import standins as S
-from keelson.plans.registry import query, table
+from keelson.plans.registry import query, rows_of, table
 from keelson.plans.splitting import HOUSE_POINTS_SQL, house_rules, set_name_sql
 
 # A price guess, a renovation guess and their truths, from the order lines.
@@ -25,7 +25,7 @@ SCORED_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in SCORED.items()) + "
 
 
 def scored(spark, folder):
-    rows = table(spark, folder, "lineitem").selectExpr(
+    rows = rows_of(spark, folder, "lineitem").selectExpr(
         *[f"{e} AS {n}" for n, e in SCORED.items()])
     return rows.withColumn("answer", F.col("score") >= 0.6)
 

@@ -8,7 +8,7 @@ from keelson.functions import parse
 from keelson.operators import clean, ranking, rows, splits
 from keelson.plans import standins as S
 from keelson.plans.cleaning import EVENT_MOMENT_SQL
-from keelson.plans.registry import query, table
+from keelson.plans.registry import query, rows_of, table
 
 SEED = 42
 SAMPLE = 2_000
@@ -48,7 +48,7 @@ def house_rules(spark, folder) -> dict:
 
 @query("T1", split_points_sql("SELECT CAST(o_orderdate AS DATE) AS day FROM orders"))
 def order_split_points(spark, folder):
-    days = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"))
+    days = rows_of(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"))
     return splits.split_points(days)
 
 
@@ -126,7 +126,7 @@ SELECT (SELECT count(*) FROM lineitem) - count(*) AS dropped_duplicates,
   count(*) FILTER (WHERE set_name = 'simulation') AS simulation_rows
 FROM ({plan_sql('classification')})""")
 def set_plan_counts(spark, folder):
-    total = table(spark, folder, "lineitem").count()
+    total = rows_of(spark, folder, "lineitem").count()
     return rows.plan_counts(_flagged(spark, folder, "classification"), total)
 
 
@@ -151,7 +151,7 @@ def sampled_set_plan(spark, folder):
 @query("L3 L4", f"SELECT o_orderkey, o_totalprice FROM orders ORDER BY "
                 f"md5('{SEED}|' || CAST(o_orderkey AS VARCHAR)) LIMIT {SAMPLE}")
 def exact_sample(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    orders = rows_of(spark, folder, "orders").select("o_orderkey", "o_totalprice")
     return rows.sample_exact(orders, SAMPLE, SEED, F.col("o_orderkey"))
 
 
@@ -222,7 +222,7 @@ SELECT k, value FROM (SELECT l_extendedprice AS value, row_number() OVER (ORDER
   - 1 AS k, count(*) OVER () AS n FROM lineitem)
 WHERE k IN (0, n // 4, n // 2, n - 1)""")
 def order_statistics(spark, folder):
-    lines = table(spark, folder, "lineitem")
+    lines = rows_of(spark, folder, "lineitem")
     n = lines.count()
     found = ranking.order_statistics(lines, {"l_extendedprice": [0, n // 4, n // 2, n - 1]})
     return spark.createDataFrame(

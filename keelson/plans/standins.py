@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from keelson.plans.registry import table
+from keelson.session import spread
 from keelson.spec import house_spec
 
 SPEC = house_spec(2026)
@@ -162,13 +163,16 @@ def _build(df: DataFrame, rules: dict[str, str], columns: list[str] | None = Non
     return df.selectExpr(*[f"{rules[n]} AS `{n}`" for n in (columns or rules)])
 
 
-def raw_houses(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame:
+def raw_houses(spark: SparkSession, folder: str, columns: list[str] | None = None, *,
+               file_order: bool = False) -> DataFrame:
     """A dirty all-text house table, one row per order line, ids repeated."""
-    return _build(_build(table(spark, folder, "lineitem"), _BASE), HOUSE_RULES, columns)
+    lines = table(spark, folder, "lineitem")
+    lines = lines if file_order else spread(lines)
+    return _build(_build(lines, _BASE), HOUSE_RULES, columns)
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return _build(table(spark, folder, "events"), LOG_RULES)
+    return _build(spread(table(spark, folder, "events")), LOG_RULES)
 
 
 def outcomes(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,6 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings the results and the speed of wide tables depend on.
+
+    Times are UTC throughout.  One projection over a wide catalog can grow past
+    the 8000 bytes of bytecode up to which the JVM compiles a method; with this
+    limit Spark splits such code into compiled pieces instead.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def local_session(cores: str = "*", **settings: str) -> SparkSession:
     """A session for tests and benches; a cluster brings its own."""
     builder = (
@@ -22,7 +34,7 @@ def local_session(cores: str = "*", **settings: str) -> SparkSession:
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,3 +66,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deals rows out to all cores when a scan has fewer splits than cores.
+
+    A small file with one row group is otherwise read, and everything computed
+    from it, by a single task.  Larger scans are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
