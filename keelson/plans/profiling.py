@@ -70,7 +70,7 @@ _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def _numeric_sql(source: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", round(1 - count({c}) / count(*), 9) AS missing_rate, "
-        f"count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+        f"count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
         f"min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25), 6) AS p25, "
         f"round(quantile_cont({c}, 0.5), 6) AS p50, round(quantile_cont({c}, 0.75), 6) AS p75 "
         f"FROM ({source})" for c in columns)
@@ -78,7 +78,7 @@ def _numeric_sql(source: str, columns: list[str]) -> str:
 
 def _rounded(df):
     return df.select("column", F.round("missing_rate", 9).alias("missing_rate"), "n",
-                     *[F.round(c, 6).alias(c) for c in ("mean", "std")], "min", "max",
+                     *[F.round(c, 4).alias(c) for c in ("mean", "std")], "min", "max",
                      *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")])
 
 
