@@ -51,18 +51,22 @@ DEFAULTS = {
 LABEL = "_label"
 
 
-def build_estimator(task: str, name: str, rows: int, settings: dict | None = None) -> Estimator:
+def build_estimator(task: str, name: str, rows: int, settings: dict | None = None,
+                    label_deviation: float = 1.0) -> Estimator:
     """An unfitted MLlib estimator; a name of the other task is refused.
 
-    ``xgboost`` is MLlib's gradient boosted trees, ``svm`` a linear one.
+    ``xgboost`` is MLlib's gradient boosted trees, ``svm`` a linear one.  Ridge
+    needs the number of rows and the label's population deviation.
     """
     if name not in ESTIMATORS.get(task, ()):
         raise ValueError(f"{task} offers {ESTIMATORS.get(task, ())}, got {name!r}")
     chosen = {**DEFAULTS[name], **(settings or {})}
     common = {"featuresCol": "features", "labelCol": LABEL}
     if name == "ridge":
-        # MLlib divides the squared loss by the rows and halves both terms.
-        return LinearRegression(regParam=chosen["alpha"] / rows, elasticNetParam=0.0,
+        # MLlib averages the squared loss over the rows, and divides the penalty by
+        # the label's deviation before it solves.
+        return LinearRegression(regParam=chosen["alpha"] / rows * label_deviation,
+                                elasticNetParam=0.0,
                                 standardization=False, solver="normal", **common)
     if name == "svm":
         return LinearSVC(rawPredictionCol="margin", predictionCol="side", **chosen, **common)
@@ -99,38 +103,47 @@ def label_column(df: DataFrame, spec: TableSpec, task: str) -> Column:
     return clean.task_label(df, spec, task).cast("double")
 
 
-def _fit_chain(train: DataFrame, spec: TableSpec, task: str, name: str, rows: int,
-               settings: dict | None) -> PipelineModel:
-    """Fits encoder and estimator on labelled raw rows (column ``_label``)."""
+def _encode(labelled: DataFrame, spec: TableSpec, task: str) -> tuple[list, DataFrame]:
+    """Encoder stages learned from all train rows, and the rows as feature vectors.
+
+    The vectors are stored once: every fold, trial and final fit reads them, so
+    raw rows are cleaned a single time.
+    """
     raw_step = encode.RawFeatures.of(spec, task)
     numeric, categorical = spec.encoded_features(task)
-    read = raw_step.transform(train).persist()
+    read = raw_step.transform(labelled).persist()
     try:
         encoding = encode.fit_encoding(read, [f"x_{c}" for c in numeric],
                                        [f"x_{c}" for c in categorical])
         stages = encode.encoder_stages(read, encoding)
-        ready = PipelineModel(stages).transform(read)
-        model = build_estimator(task, name, rows, settings).fit(ready)
-        tail = [model]
-        if name == "svm":
-            spread = VectorAssembler(inputCols=["margin_up"], outputCol="margin_vector")
-            up = _MarginUp.make()
-            margins = spread.transform(up.transform(model.transform(ready)))
-            sigmoid = LogisticRegression(featuresCol="margin_vector", labelCol=LABEL,
-                                         rawPredictionCol="sigmoid_raw").fit(margins)
-            tail = [model, up, spread, sigmoid]
+        kept = [c for c in (LABEL, "position", "_moment") if c in labelled.columns]
+        vectors = materialize(PipelineModel(stages).transform(read).select(*kept, "features"),
+                              "vectors")
     finally:
         read.unpersist()
-    return PipelineModel([raw_step, *stages, *tail])
+    return [raw_step, *stages], vectors
+
+
+def _fit_tail(vectors: DataFrame, task: str, name: str, rows: int,
+              settings: dict | None) -> list:
+    """The fitted stages after the encoder; an SVM gets a logistic curve on its margin."""
+    deviation = 1.0
+    if name == "ridge":
+        deviation = vectors.agg(F.stddev_pop(LABEL)).first()[0] or 1.0
+    model = build_estimator(task, name, rows, settings, deviation).fit(vectors)
+    if name != "svm":
+        return [model]
+    up = _MarginUp("{}")
+    spread = VectorAssembler(inputCols=["margin_up"], outputCol="margin_vector")
+    margins = spread.transform(up.transform(model.transform(vectors)))
+    sigmoid = LogisticRegression(featuresCol="margin_vector", labelCol=LABEL,
+                                 rawPredictionCol="sigmoid_raw").fit(margins)
+    return [model, up, spread, sigmoid]
 
 
 class _MarginUp(encode._JsonStage):
     """Takes the positive-side margin out of a two-entry vector."""
 
-    @classmethod
-    def make(cls) -> _MarginUp:
-        return cls("{}")
-
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn("margin_up", vector_to_array(F.col("margin"))[1])
 
@@ -155,11 +168,11 @@ def _score_fold(model: TrainedModel, rows: DataFrame) -> float:
     return -(value if value is not None else 0.0)
 
 
-def tune(ordered: DataFrame, spec: TableSpec, task: str, name: str, rows: int, undated: int,
+def tune(vectors: DataFrame, task: str, name: str, rows: int, undated: int,
          folds: int = FOLDS, grid: dict | None = None) -> dict:
     """The grid entry with the best mean score over forward-chaining folds.
 
-    ``ordered`` has a ``position`` (see ``splits.training_order``): fold i learns
+    ``vectors`` has a ``position`` (see ``splits.training_order``): fold i learns
     from all rows before its block.
     """
     grid = grid or GRIDS[name]
@@ -169,10 +182,10 @@ def tune(ordered: DataFrame, spec: TableSpec, task: str, name: str, rows: int, u
         settings = dict(zip(grid, values, strict=True))
         total = 0.0
         for start, end in bounds:
-            learn = ordered.where(F.col("position") < start)
-            block = ordered.where((F.col("position") >= start) & (F.col("position") < end))
-            chain = _fit_chain(learn, spec, task, name, start, settings)
-            total += _score_fold(TrainedModel(task, chain), block)
+            learn = vectors.where(F.col("position") < start)
+            block = vectors.where((F.col("position") >= start) & (F.col("position") < end))
+            tail = _fit_tail(learn, task, name, start, settings)
+            total += _score_fold(TrainedModel(task, PipelineModel(tail)), block)
         if total / folds < best_score:
             best, best_score = settings, total / folds
     return best
@@ -185,31 +198,33 @@ def fit(train: DataFrame, spec: TableSpec, task: str, name: str = DEFAULT_ESTIMA
 
     Rows are put in time order when something depends on it: tuning folds, or
     the classifier's threshold, which is read off the latest 20% as scored by a
-    model of the earliest 80%.  The final model learns from every row.
+    model of the earliest 80%.  The encoder and the final model learn from every
+    row.
     """
     build_estimator(task, name, 1, settings)
     labelled = train.withColumn(LABEL, label_column(train, spec, task)).where(
         F.col(LABEL).isNotNull())
-    if task == "regression" and not tuned:
-        kept = materialize(labelled, "train")
-        return TrainedModel(task, _fit_chain(kept, spec, task, name, kept.count(), settings),
-                            None, settings)
-    ordered = materialize(splits.training_order(labelled, spec, ties), "train")
-    size = ordered.agg(F.count(F.lit(1)).alias("rows"),
+    ordered = task == "classification" or tuned
+    stages, vectors = _encode(
+        splits.training_order(labelled, spec, ties) if ordered else labelled, spec, task)
+    if not ordered:
+        tail = _fit_tail(vectors, task, name, vectors.count(), settings)
+        return TrainedModel(task, PipelineModel([*stages, *tail]), None, settings)
+    size = vectors.agg(F.count(F.lit(1)).alias("rows"),
                        F.count_if(F.col("_moment").isNull()).alias("undated")).first()
     rows = size["rows"]
     if tuned:
-        settings = tune(ordered, spec, task, name, rows, size["undated"], folds, grid)
-    chain = _fit_chain(ordered, spec, task, name, rows, settings)
+        settings = tune(vectors, task, name, rows, size["undated"], folds, grid)
+    chain = PipelineModel([*stages, *_fit_tail(vectors, task, name, rows, settings)])
     if task == "regression":
         return TrainedModel(task, chain, None, settings)
     cut = int(rows * (1 - HOLDOUT_SHARE))
-    early = ordered.where(F.col("position") < cut)
-    late = ordered.where(F.col("position") >= cut)
+    early = vectors.where(F.col("position") < cut)
+    late = vectors.where(F.col("position") >= cut)
     both = early.select(LABEL).distinct().count() == 2
     if not both or late.where(F.col(LABEL) == 1).isEmpty():
         return TrainedModel(task, chain, 0.5, settings)
-    trial = TrainedModel(task, _fit_chain(early, spec, task, name, cut, settings), 0.5)
+    trial = TrainedModel(task, PipelineModel(_fit_tail(early, task, name, cut, settings)), 0.5)
     threshold = choose_threshold(trial.score(late), F.col(LABEL) == 1, F.col("probability"))
     return TrainedModel(task, chain, threshold, settings)
 

@@ -3,6 +3,7 @@
 import json
 from datetime import UTC, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,6 +219,40 @@ def test_classifier_threshold_reaches_its_recall(spark, spec):
     assert 0 < model.threshold < 1 and caught >= 0.65
 
 
+@pytest.mark.parametrize(("task", "name", "settings"), [
+    ("regression", "xgboost", {"maxIter": 3, "maxDepth": 2}),
+    ("regression", "random_forest", {"numTrees": 3, "maxDepth": 4}),
+    ("classification", "xgboost", {"maxIter": 3, "maxDepth": 2}),
+    ("classification", "random_forest", {"numTrees": 3, "maxDepth": 4}),
+])
+def test_tree_models_learn_from_raw_rows(spark, spec, task, name, settings):
+    df = houses(spark, 600)
+    model = train.fit(df, spec, task, name, ties=[F.col("property_id")], settings=settings)
+    scored = model.score(df.withColumn(train.LABEL, train.label_column(df, spec, task)))
+    row = train.scores(scored, task).first()
+    assert row["r2"] > 0.5 if task == "regression" else row["auc"] > 0.95
+
+
+def test_tuning_prefers_the_fitting_penalty(spark, spec):
+    df = houses(spark, 600)
+    model = train.fit(df, spec, "regression", "ridge", ties=[F.col("property_id")], tuned=True,
+                      grid={"alpha": [1e9, 1.0]}, folds=3)
+    assert model.settings == {"alpha": 1.0}
+
+
+def test_ridge_equals_the_normal_equations(spark, spec):
+    df = houses(spark, 400)
+    model = train.fit(df, spec, "regression", "ridge", ties=[F.col("property_id")])
+    rows_ = model.chain.transform(df).select("features", "prediction", train.label_column(
+        df, spec, "regression").alias("y")).collect()
+    x = np.array([r["features"].toArray() for r in rows_])
+    y = np.array([r["y"] for r in rows_])
+    xc, yc = x - x.mean(axis=0), y - y.mean()
+    w = np.linalg.solve(xc.T @ xc + np.eye(x.shape[1]), xc.T @ yc)
+    want = xc @ w + y.mean()
+    assert np.allclose([r["prediction"] for r in rows_], want, rtol=1e-4)
+
+
 def test_estimator_of_the_other_task_is_refused():
     with pytest.raises(ValueError):
         train.build_estimator("regression", "svm", 10)
