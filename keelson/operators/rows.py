@@ -152,19 +152,17 @@ def plan_counts(flagged: DataFrame, total: Column | int) -> DataFrame:
 
 
 def plan_rows(df: DataFrame, spec: TableSpec, task: str, rules: dict, sample_rows: int | None,
-              seed: int, order: Sequence[Column]) -> SetPlan:
-    """Train and test rows of a run.
+              seed: int, order: Sequence[str] = FILE_ORDER) -> SetPlan:
+    """Train and test rows of a run; ``order`` names the columns that say which row is first.
 
-    Counting and drawing work on the few planning columns only.  The test set
-    is never sampled, so it is the same for every sample size.
+    Counting and drawing work on the planning and order columns only, stored
+    once.  The test set is never sampled, so it is the same for every sample
+    size.
     """
     if sample_rows is not None and sample_rows < 1:
         raise ValueError(f"sample size must be positive, got {sample_rows}")
-    light = df.select(*dict.fromkeys([
-        *spec.planning_columns(task, df.columns),
-        *[c for c in FILE_ORDER if c in df.columns],
-        *[c for c in df.columns if c == "row_key"],
-    ]))
+    light = df.select(*dict.fromkeys([*spec.planning_columns(task, df.columns), *order]))
+    order = [F.col(c) for c in order]
     total = df.count()
     # A row without an id is still one row after deduplication.
     key = F.coalesce(F.col(spec.id_column).cast("string"), F.lit(""))

@@ -85,7 +85,7 @@ def _sets(spark, folder, task):
     """Train and test rows of the house table, stored once."""
     raw = materialize(S.raw_houses(spark, folder), "houses")
     plan = rows.plan_rows(raw, S.SPEC, task, house_rules(spark, folder), None, 42,
-                          [F.col("row_key")])
+                          ["row_key"])
     return materialize(plan.train, "train"), materialize(plan.test, "test")
 
 

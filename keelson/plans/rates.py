@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from keelson.plans import standins as S
@@ -113,6 +115,21 @@ def counter_increases(spark, folder):
     return windows.counter_increase(_requests(spark, folder), "ts", "event_id")
 
 
+@contextmanager
+def _stream_partitions(spark):
+    """State is cut into as many pieces as there are cores while a stream is started.
+
+    The number is fixed in a stream's checkpoint and adaptive execution does not
+    change it, so the batch default would leave most pieces empty.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _as_stream(spark, df, label, per_trigger=1):
     """Stores a table and reads it back as a stream of its files."""
     path = scratch_path(spark, label)
@@ -145,8 +162,9 @@ def streamed_without_repeats(spark, folder):
     stream = _as_stream(spark, log.unionByName(again).coalesce(1), "repeats-in")
     path = scratch_path(spark, "once")
     once = jobs.drop_repeats(stream, "365 days")
-    jobs.log_sink(once, path, scratch_path(spark, "once-state"), available_now=True) \
-        .awaitTermination()
+    with _stream_partitions(spark):
+        jobs.log_sink(once, path, scratch_path(spark, "once-state"), available_now=True) \
+            .awaitTermination()
     return spark.read.parquet(path).groupBy("model_name").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -167,8 +185,9 @@ def streamed_late_outcomes(spark, folder):
     joined = jobs.join_late_outcomes(_as_stream(spark, predictions.coalesce(1), "p-in"),
                                      _as_stream(spark, late.coalesce(1), "o-in"))
     path = scratch_path(spark, "late")
-    jobs.log_sink(joined, path, scratch_path(spark, "late-state"), available_now=True) \
-        .awaitTermination()
+    with _stream_partitions(spark):
+        jobs.log_sink(joined, path, scratch_path(spark, "late-state"), available_now=True) \
+            .awaitTermination()
     return spark.read.parquet(path).select("request_id", "prediction", "actual")
 
 
@@ -184,7 +203,8 @@ def streamed_activity(spark, folder):
     path = scratch_path(spark, "activity")
     writer = activity.writeStream.format("parquet").outputMode("append").option("path", path) \
         .option("checkpointLocation", scratch_path(spark, "activity-state"))
-    writer.trigger(availableNow=True).start().awaitTermination()
+    with _stream_partitions(spark):
+        writer.trigger(availableNow=True).start().awaitTermination()
     last = table(spark, folder, "events").agg(
         F.date_trunc("day", F.max("ts")).cast("timestamp").alias("last")).first()["last"]
     return spark.read.parquet(path).where(F.col("window_end") <= F.lit(last)).withColumn(
@@ -203,8 +223,9 @@ def streamed_streaks(spark, folder):
     def keep(batch, _):
         batch.write.mode("append").parquet(path)
 
-    jobs.live_streaks(stream).writeStream.outputMode("update").foreachBatch(keep).option(
-        "checkpointLocation", scratch_path(spark, "streaks-state")
-    ).trigger(availableNow=True).start().awaitTermination()
+    with _stream_partitions(spark):
+        jobs.live_streaks(stream).writeStream.outputMode("update").foreachBatch(keep).option(
+            "checkpointLocation", scratch_path(spark, "streaks-state")
+        ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(path).select(
         "model_name", "part", F.to_date("run_at").alias("dt"), "level", "streak")

@@ -142,7 +142,7 @@ def sampled_set_plan(spark, folder):
     names = ["property_id", "listing_date", "sale_price"]
     raw = S.raw_houses(spark, folder, [*names, "row_key"])
     plan = rows.plan_rows(raw, S.SPEC, "regression", house_rules(spark, folder), SAMPLE, SEED,
-                          [F.col("row_key")])
+                          ["row_key"])
     return plan.train.withColumn("set_name", F.lit("train")).unionByName(
         plan.test.withColumn("set_name", F.lit("test"))).select(
         "set_name", "property_id", F.col("sale_price").alias("label"))

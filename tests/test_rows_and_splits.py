@@ -84,17 +84,17 @@ def test_plan_disjoint_repeatable_and_test_set_fixed(spark, spec):
     def ids(part):
         return sorted(r[0] for r in part.select("property_id").collect())
 
-    full = rows.plan_rows(df, spec, "regression", rules, None, 42, [F.col("row_key")])
+    full = rows.plan_rows(df, spec, "regression", rules, None, 42, ["row_key"])
     small = rows.plan_rows(df.repartition(7), spec, "regression", rules, 100, 42,
-                           [F.col("row_key")])
-    again = rows.plan_rows(df, spec, "regression", rules, 100, 42, [F.col("row_key")])
+                           ["row_key"])
+    again = rows.plan_rows(df, spec, "regression", rules, 100, 42, ["row_key"])
     assert full.counts["dropped_duplicates"] == 50
     assert not set(ids(full.train)) & set(ids(full.test))
     assert ids(full.test) == ids(small.test)
     assert len(ids(small.train)) == 100 and ids(small.train) == ids(again.train)
     assert set(ids(small.train)) <= set(ids(full.train))
     with pytest.raises(ValueError):
-        rows.plan_rows(df, spec, "regression", rules, 0, 42, [F.col("row_key")])
+        rows.plan_rows(df, spec, "regression", rules, 0, 42, ["row_key"])
 
 
 def test_sample_sizes(spark):

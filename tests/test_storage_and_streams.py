@@ -159,7 +159,7 @@ def test_observed_label_reaches_the_sets(spark, spec, root):
     data = tables.read_version(spark, root, "v1-fb1").withColumn(
         "row_key", F.col("property_id"))
     plan = rows.plan_rows(data, spec, "classification", manifest["split_points"], None, 42,
-                          [F.col("row_key")])
+                          ["row_key"])
     kept = plan.train.unionByName(plan.test)
     assert kept.where("needs_renovation").count() == 300
     assert plan.counts["dropped_missing_target"] == 0
