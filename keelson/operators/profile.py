@@ -22,20 +22,24 @@ def validation_row(df: DataFrame, spec: TableSpec) -> DataFrame:
     the first pass would carry every other partial result along per id.
     """
     present = [f for f in df.schema.fields if f.name in spec]
-    parts = [F.count(F.lit(1)).alias("row_count")]
+    parts, flags, numbers = [F.count(F.lit(1)).alias("row_count")], {}, {}
     for fld in present:
         column = spec[fld.name]
         value = F.col(fld.name)
         missing = value.isNull()
         if isinstance(fld.dataType, (T.DoubleType, T.FloatType)):
             missing = missing | F.isnan(value)
-        parts.append(F.coalesce(F.avg(missing.cast("double")), F.lit(0.0))
+        flags[fld.name] = missing.cast("double").alias(f"{fld.name}:flag")
+        parts.append(F.coalesce(F.avg(F.col(f"`{fld.name}:flag`")), F.lit(0.0))
                      .alias(f"{fld.name}:missing"))
         if column.bounded:
-            outside = parse.outside(clean.read_as("numeric", value, fld.dataType),
-                                    column.min_value, column.max_value)
-            parts.append(F.count_if(outside).alias(f"{fld.name}:outside"))
-    measured = df.agg(*parts)
+            # Read in the projection below, so each value is read once.
+            numbers[fld.name] = clean.read_as("numeric", value, fld.dataType).alias(
+                f"{fld.name}:number")
+            parts.append(F.count_if(parse.outside(
+                F.col(f"`{fld.name}:number`"), column.min_value, column.max_value))
+                .alias(f"{fld.name}:outside"))
+    measured = df.select(*flags.values(), *numbers.values()).agg(*parts)
     if spec.id_column not in df.columns:
         return measured
     # Missing ids form one group, so all but one of them count as duplicates.
