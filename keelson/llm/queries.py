@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import sharding
+from keelson.llm import html_text, quality, sharding, warc
 from keelson.llm.frames import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,7 +38,21 @@ def op8_byte_sharding(spark, folder):
 @query
 def op1_warc_revisits(spark, folder):
     """Archives of ``pages`` with repeated payloads as revisits, as read back."""
-    from keelson.llm import warc
-
     return warc.deduplicate(table(spark, folder, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "path", "offset")
+
+
+@query
+def op5_quality_rules(spark, folder):
+    """The ledger of all ``documents`` and the verdict of the full policy."""
+    rows = quality.ledger(table(spark, folder, "documents"))
+    return rows.select(
+        F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality.accepted("base")).alias("base_failed"), quality.accepted("full").alias("kept"), "failed",
+        "n_lines", "n_letters", "n_upper", "n_shouted", "n_insults")
+
+
+@query
+def op3_html_main_text(spark, folder):
+    """Main text of every row of ``pages``."""
+    return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
