@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import html_text, quality, sharding, warc
+from keelson.llm import bpe, html_text, quality, sharding, warc
 from keelson.llm.frames import small_batches
 
+#: Vocabulary files are read where the tokenizers package lies; they are not part of this library.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -56,3 +61,10 @@ def op5_quality_rules(spark, folder):
 def op3_html_main_text(spark, folder):
     """Main text of every row of ``pages``."""
     return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op10_bpe_round_trip(spark, folder):
+    """Ids of all ``documents`` and what they decode to, as digests."""
+    return bpe.digests(table(spark, folder, "documents"), BYTE_BPE).select(
+        F.col("key").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
