@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import bpe, html_text, quality, sharding, warc
+from keelson.llm import bpe, html_text, jaccard, quality, sharding, warc
 from keelson.llm.frames import small_batches
 
 #: Vocabulary files are read where the tokenizers package lies; they are not part of this library.
@@ -68,3 +68,10 @@ def op10_bpe_round_trip(spark, folder):
     """Ids of all ``documents`` and what they decode to, as digests."""
     return bpe.digests(table(spark, folder, "documents"), BYTE_BPE).select(
         F.col("key").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op9_jaccard_join(spark, folder):
+    """Components of all ``documents`` under links of 85 percent."""
+    return jaccard.classes(table(spark, folder, "documents"), size=4, percent=85).select(
+        F.col("key").alias("doc_id"), "n_shingles", "component_id")
