@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import bpe, html_text, jaccard, quality, sharding, warc
+from keelson.llm import bpe, html_text, jaccard, quality, sharding, substrings, warc
 from keelson.llm.frames import small_batches
 
 #: Vocabulary files are read where the tokenizers package lies; they are not part of this library.
@@ -75,3 +75,10 @@ def op9_jaccard_join(spark, folder):
     """Components of all ``documents`` under links of 85 percent."""
     return jaccard.classes(table(spark, folder, "documents"), size=4, percent=85).select(
         F.col("key").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op2_substring_dedup(spark, folder):
+    """All ``documents`` without passages of 35 words that also stand elsewhere."""
+    return substrings.remove_repeats(table(spark, folder, "documents"), 35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
