@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import bpe, html_text, jaccard, quality, sharding, substrings, warc
+from keelson.llm import bpe, html_text, jaccard, quality, sharding, substrings, templates, warc
 from keelson.llm.frames import small_batches
 
 #: Vocabulary files are read where the tokenizers package lies; they are not part of this library.
@@ -82,3 +82,10 @@ def op2_substring_dedup(spark, folder):
     """All ``documents`` without passages of 35 words that also stand elsewhere."""
     return substrings.remove_repeats(table(spark, folder, "documents"), 35).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_template_decontamination(spark, folder):
+    """All ``documents`` that hold an item of ``benchmark``, verbatim or re-parameterised."""
+    return templates.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select(
+        F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "run", "slots", "same_values")
