@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import bpe, html_text, jaccard, quality, sharding, substrings, templates, warc
+from keelson.llm import bpe, html_text, jaccard, lm_scores, quality, sharding, substrings, templates, warc
 from keelson.llm.frames import small_batches
 
 #: Vocabulary files are read where the tokenizers package lies; they are not part of this library.
@@ -89,3 +89,10 @@ def op7_template_decontamination(spark, folder):
     """All ``documents`` that hold an item of ``benchmark``, verbatim or re-parameterised."""
     return templates.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select(
         F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "run", "slots", "same_values")
+
+
+@query
+def op4_stupid_backoff(spark, folder):
+    """Scores of all ``documents`` under their own trigram counts."""
+    return lm_scores.scores(table(spark, folder, "documents"), 3).select(
+        F.col("key").alias("doc_id"), "n_words", "log_score", "mean_log_score")
