@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Up to so many counted narrow rows are broadcast.
+BROADCAST_ROWS = 1_000_000
+
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -27,5 +30,6 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, to be broadcast if it is counted to be small, else to be joined by shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df.hint("merge")
