@@ -145,19 +145,20 @@ def measure_piece(piece: Piece) -> dict[str, np.ndarray]:
 
 
 def _measure(batches):
+    """Measures the last column; the others go along."""
     for batch in batches:
-        for piece in pieces(batch.column(1)):
+        carried = batch.columns[:-1]
+        for piece in pieces(batch.columns[-1]):
             found = measure_piece(piece)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(piece.row, piece.n_texts),
-                 *(pa.array(found[m], pa.int64()) for m in MEASURES)], names=["key", *MEASURES])
+                [*(c.slice(piece.row, piece.n_texts) for c in carried),
+                 *(pa.array(found[m], pa.int64()) for m in MEASURES)],
+                names=[*batch.schema.names[:-1], *MEASURES])
 
 
-def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, all measurements, and ``failed``: a bit for each rule that fails."""
-    kind = docs.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
-    schema = f"key {kind}, " + ", ".join(f"{m} long" for m in MEASURES)
-    measured = docs.select(*named(key=key, text=text)).mapInArrow(_measure, schema)
+def _ledger(rows: DataFrame) -> DataFrame:
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    measured = rows.mapInArrow(_measure, ", ".join([*kinds, *(f"{m} long" for m in MEASURES)]))
     bits = [F.when(F.expr(rule), F.lit(1 << k).cast("long")).otherwise(0) for k, (_, rule) in enumerate(RULES)]
     failed = bits[0]
     for one in bits[1:]:
@@ -165,6 +166,18 @@ def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return measured.withColumn("failed", failed)
 
 
+def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, all measurements, and ``failed``: a bit for each rule that fails."""
+    return _ledger(docs.select(*named(key=key, text=text)))
+
+
+def passing(docs: DataFrame, policy: str = "full", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, whose text passes a policy; nothing is shuffled."""
+    inside = {f"carried_{k}": c for k, c in enumerate(docs.columns)}
+    rows = docs.select(*named(**inside), F.col(f"`{text}`").alias("text"))
+    return _ledger(rows).filter(accepted(policy)).select(*(F.col(k).alias(c) for k, c in inside.items()))
+
+
 def accepted(policy: str) -> Column:
     """Whether a ledger row passes all rules of a policy."""
     return F.col("failed").bitwiseAND(F.lit(mask(policy))) == 0
