@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import bpe, html_text, jaccard, lm_scores, quality, sharding, substrings, templates, warc
+from keelson.llm import bpe, html_text, id_files, jaccard, lm_scores, quality, sharding, substrings, templates, warc
 from keelson.llm.frames import small_batches
 
 #: Vocabulary files are read where the tokenizers package lies; they are not part of this library.
@@ -96,3 +96,10 @@ def op4_stupid_backoff(spark, folder):
     """Scores of all ``documents`` under their own trigram counts."""
     return lm_scores.scores(table(spark, folder, "documents"), 3).select(
         F.col("key").alias("doc_id"), "n_words", "log_score", "mean_log_score")
+
+
+@query
+def op6_token_id_files(spark, folder):
+    """Token ids of all ``documents`` in coded files, as read back."""
+    manifest = id_files.write_ids(table(spark, folder, "documents"), WORD_BPE, end=2)
+    return id_files.read_ids(manifest).withColumnRenamed("key", "doc_id")
