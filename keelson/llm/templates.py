@@ -9,7 +9,7 @@ the placeholders are filled consistently, that is, equal values of the item stan
 equal values of the document.
 
 All of it is DataFrame expressions.  The windows of the benchmark are broadcast up to
-``BROADCAST_ROWS`` counted rows, else joined by shuffle; so are the candidate texts.
+``frames.BROADCAST_ROWS`` counted rows, else joined by shuffle; so are the candidate texts.
 
 Defined results: null and empty texts and items match nothing; equal texts get equal
 findings; an item with fewer than ``LEAST_WORDS`` words or without ``window`` words of
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.frames import named, text_of
+from keelson.llm.frames import named, small_side, text_of
 from keelson.session import materialize
 
 WINDOW, STRIDE = 7, 6
@@ -30,7 +30,6 @@ WINDOW, STRIDE = 7, 6
 LEAST_WORDS = 5
 #: At least so many words of a window are literal.
 LEAST_LITERAL = 4
-BROADCAST_ROWS = 1_000_000
 
 #: Fixed value: unit words that count as such after a number.
 UNITS = ("kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|miles?|feet|foot|ft|inch(?:es)?|yards?|l|ml|liters?|litres?|gallons?|"
@@ -43,7 +42,7 @@ _SPACE = r"[ \t\n\x0B\f\r]+"
 
 def slots_marked(text: Column) -> Column:
     """The text in template words, where a placeholder still carries its value."""
-    named_ = F.regexp_replace(text, r"(?<=[\p{Ll},;] )(\p{Lu}[\p{L}’'-]*)", f"{_MARK}p$1")
+    named_ = F.regexp_replace(text, r"(?<=[\p{Ll},;] )(\p{Lu}\p{Ll}[\p{L}’'-]*)", f"{_MARK}p$1")
     numbered = F.regexp_replace(named_, r"(?<!\S)([$€£]?\d\S*)", f"{_MARK}n$1")
     measured = F.regexp_replace(numbered, rf"({_MARK}n\S*\s+)((?:{UNITS})(?![\p{{L}}\p{{N}}]))", f"$1{_MARK}u$2")
     return F.translate(F.lower(measured), _PUNCTUATION, "")
@@ -65,11 +64,6 @@ def windows(words: Column, window: int, stride: int) -> Column:
         i.alias("at"), F.xxhash64(F.slice(words, i + 1, F.lit(window))).alias("hash")))
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, to be broadcast if it is counted to be small."""
-    return F.broadcast(df) if df.count() <= rows else df.hint("merge")
-
-
 def item_templates(items: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     marked = items.select(*named(item=item, body=text)).select("item", slots_marked(text_of("body")).alias("marked"))
     return marked.select("item", words_of(without_values(F.col("marked"))).alias("template"),
@@ -114,20 +108,23 @@ def findings(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: st
         found = found.unionByName(_candidates(texts, items.filter(F.size("template") == length), length, 1))
     found = materialize(found, "candidates")
     wanted = small_side(found.select("node").distinct())
-    some = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    laid = (found.join(some.select("node", slots_marked(F.col("text")).alias("marked")).hint("merge"), "node")
-            .join(small_side(items), "item"))
-    laid = laid.select(
-        "node", "item", "shift", "template", "filled", words_of(F.col("marked")).alias("doc_filled"),
-        words_of(without_values(F.col("marked"))).alias("doc_template"))
-    at = F.sequence(F.lit(0), F.size("template") - 1)
-
-    def here(words: str, i: Column) -> Column:
-        return F.try_element_at(words, F.when(i >= 0, i + 1))
-    pairs = F.transform(at, lambda i: F.struct(
-        F.coalesce(F.get("template", i) == here("doc_template", i + F.col("shift")), F.lit(False)).alias("equal"),
-        F.get("template", i).startswith(_MARK).alias("slot"),
-        F.get("filled", i).alias("mine"), here("doc_filled", i + F.col("shift")).alias("theirs")))
+    some = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select(
+        "node", slots_marked(F.col("text")).alias("marked"))
+    # Stored, so that the words of a document are cut once for all layings.
+    some = materialize(some.select("node", words_of(without_values(F.col("marked"))).alias("doc_template"),
+                                   words_of(F.col("marked")).alias("doc_filled")), "candidate-texts")
+    laid = found.join(some.hint("merge"), "node").join(small_side(items), "item")
+
+    def beside(words: str) -> Column:
+        """The document's words under the item's, null where it has none."""
+        length, missing = F.size("template"), F.greatest(-F.col("shift"), F.lit(0))
+        own = F.slice(words, F.greatest(F.col("shift"), F.lit(0)) + 1, F.greatest(length - missing, F.lit(0)))
+        return F.concat(F.array_repeat(F.lit(None).cast("string"), F.least(missing, length)), own)
+    laid = laid.select("node", "item", "template", F.arrays_zip(
+        F.col("template"), F.col("filled"), beside("doc_template").alias("t"), beside("doc_filled").alias("f")).alias("rows"))
+    pairs = F.transform("rows", lambda r: F.struct(
+        F.coalesce(r["template"] == r["t"], F.lit(False)).alias("equal"), r["template"].startswith(_MARK).alias("slot"),
+        r["filled"].alias("mine"), r["f"].alias("theirs")))
     laid = laid.select("node", "item", F.size("template").alias("length"), pairs.alias("pairs"))
 
     def run(test) -> Column:
