@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.session import scratch_path
+
 #: Up to so many counted narrow rows are broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -33,3 +37,12 @@ def text_of(column: str = "text") -> Column:
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, to be broadcast if it is counted to be small, else to be joined by shuffle."""
     return F.broadcast(df) if df.count() <= rows else df.hint("merge")
+
+
+def bucketed(df: DataFrame, column: str, label: str) -> DataFrame:
+    """``df``, stored in buckets of ``column``: joins on it move the other side only."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.bucketBy(shuffle_width(spark), column).sortBy(column).saveAsTable(
+        name, path=scratch_path(spark, label))
+    return spark.table(name)

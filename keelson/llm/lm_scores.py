@@ -27,15 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.frames import named
+from keelson.llm.frames import bucketed, named
 from keelson.llm.wordstream import join_hashes, pieces
 from keelson.session import materialize
 
 BACKOFF = 0.4
 CUTOFF = 2
 #: Text in a block, and n-grams in a part of the table for which parts are made.
-BLOCK_BYTES = 8 << 20
-PART_NGRAMS = 2_000_000
+BLOCK_BYTES = 10 << 20
+PART_NGRAMS = 1_000_000
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -86,19 +86,35 @@ class Block:
         self.gram, self.order = gram, self.order + 1
 
 
-def _blocks(batches):
+def _gathered(batches):
+    """Batches of about ``BLOCK_BYTES`` of text."""
+    held, size = [], 0
     for batch in batches:
-        for piece in pieces(batch.column(1), BLOCK_BYTES):
-            distinct, codes, counts = np.unique(piece.word_hashes(lower=True), return_inverse=True, return_counts=True)
-            by_count = np.argsort(-counts, kind="stable")
-            rank = np.empty(len(distinct), np.int32)
-            rank[by_count] = np.arange(len(distinct), dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int.from_bytes(os.urandom(8), "little", signed=True)]),
-                 pa.ListArray.from_arrays(pa.array([0, piece.n_texts], pa.int32()), batch.column(0).slice(piece.row, piece.n_texts)),
-                 pa.array([piece.n_words.astype(np.int32)], pa.list_(pa.int32())),
-                 pa.array([packed(distinct[by_count])], pa.binary()), pa.array([packed(rank[codes])], pa.binary())],
-                names=["block", "keys", "lengths", "vocabulary", "codes"])
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BLOCK_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _blocks(batches):
+    for batch in _gathered(batches):
+        words, lengths = [], []
+        for piece in pieces(batch.column(1)):
+            words.append(piece.word_hashes(lower=True))
+            lengths.append(piece.n_words.astype(np.int32))
+        distinct, codes, counts = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
+        by_count = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(distinct), np.int32)
+        rank[by_count] = np.arange(len(distinct), dtype=np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([int.from_bytes(os.urandom(8), "little", signed=True)]),
+             pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0)),
+             pa.array([np.concatenate(lengths)], pa.list_(pa.int32())),
+             pa.array([packed(distinct[by_count])], pa.binary()), pa.array([packed(rank[codes])], pa.binary())],
+            names=["block", "keys", "lengths", "vocabulary", "codes"])
 
 
 def _open(batch: pa.RecordBatch, row: int) -> Block:
@@ -191,8 +207,8 @@ def scores(docs: DataFrame, order: int = 3, key: str = "doc_id", text: str = "te
     """``key, n_words, log_score, mean_log_score`` of every row."""
     rows = docs.select(*named(key=key, text=text))
     kind = rows.schema[0].dataType.simpleString()
-    blocks = materialize(rows.mapInArrow(
-        _blocks, f"block long, keys array<{kind}>, lengths array<int>, vocabulary binary, codes binary"), "blocks")
+    blocks = bucketed(rows.mapInArrow(
+        _blocks, f"block long, keys array<{kind}>, lengths array<int>, vocabulary binary, codes binary"), "block", "blocks")
     total = blocks.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, n: s + n))).first()[0] or 0
     parts = max(1, -(-total // PART_NGRAMS))
     asked = "part int, order int, block long, grams binary, counts binary"
