@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import ChiSquareTest
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import parse
@@ -81,21 +80,25 @@ def aligned_numbers(reference: DataFrame, current: DataFrame, columns: Sequence[
 
 
 def js_distance(counts: DataFrame) -> DataFrame:
-    """Jensen-Shannon distance (natural log) per column of an aligned count table."""
+    """Jensen-Shannon distance (natural log) per column of an aligned count table.
+
+    Null for a column that has no value on one of the sides.
+    """
     totals = counts.groupBy("column").agg(
         F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
-    p = F.col("n_ref") / F.col("t_ref")
-    q = F.col("n_cur") / F.col("t_cur")
+    p = F.col("n_ref") / F.nullif("t_ref", F.lit(0))
+    q = F.col("n_cur") / F.nullif("t_cur", F.lit(0))
     m = (F.col("p") + F.col("q")) / 2
 
     def part(x: Column) -> Column:
         return F.when(x > 0, x * F.ln(x / m)).otherwise(0.0)
 
     # Totals hold one row per column.
-    shares = counts.join(F.broadcast(totals), "column").where(
-        (F.col("t_ref") > 0) & (F.col("t_cur") > 0)).select("column", p.alias("p"), q.alias("q"))
-    return shares.groupBy("column").agg(
-        F.sqrt(F.greatest(F.sum((part(F.col("p")) + part(F.col("q"))) / 2), F.lit(0.0)))
+    shares = counts.join(F.broadcast(totals), "column").select(
+        "column", "t_ref", "t_cur", p.alias("p"), q.alias("q"))
+    return shares.groupBy("column").agg(F.when(
+        (F.max("t_ref") > 0) & (F.max("t_cur") > 0),
+        F.sqrt(F.greatest(F.sum((part(F.col("p")) + part(F.col("q"))) / 2), F.lit(0.0))))
         .alias("value"))
 
 
@@ -118,76 +121,121 @@ def wasserstein(counts: DataFrame) -> DataFrame:
 
     The distance is the area between the two cumulative distributions.  Both
     are running counts over distinct values, spread over tasks by value range.
+    Null for a column that has no value on one of the sides.
     """
     run = ranking.running_totals(counts, ["column"], "value", ["n_ref", "n_cur"])
-    scales = reference_std(counts).where((F.col("t_ref") > 0) & (F.col("t_cur") > 0))
-    gap = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col("cum_n_cur") / F.col("t_cur"))
+    scales = reference_std(counts)
+    gap = F.abs(F.col("cum_n_ref") / F.nullif("t_ref", F.lit(0))
+                - F.col("cum_n_cur") / F.nullif("t_cur", F.lit(0)))
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     # Scales hold one row per column.
     return run.join(F.broadcast(scales), "column").groupBy("column").agg(
-        (F.sum(gap * step) / F.max("std")).alias("value"))
+        F.when((F.max("t_ref") > 0) & (F.max("t_cur") > 0), F.sum(gap * step) / F.max("std"))
+        .alias("value"))
 
 
 def chi_square(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """p-value per column that both samples follow one distribution.
+    """Test per column that both samples follow one distribution: statistic, degrees, p-value.
 
-    Meant for small samples; MLlib's test accepts up to 10,000 categories.
+    One aggregate of the aligned counts for all columns, whatever the number of
+    categories; the p-value is taken of one row per column.  Without values on
+    both sides statistic and p-value are null.
     """
-    results = []
-    for column in columns:
-        sides = reference.select(F.col(column).cast("string").alias("v"), F.lit(0.0).alias("side")) \
-            .unionByName(current.select(F.col(column).cast("string").alias("v"),
-                                        F.lit(1.0).alias("side"))).where("v is not null")
-        codes = sides.select("v").distinct().withColumn(
-            "code", (F.dense_rank().over(Window.orderBy("v")) - 1).cast("double"))
-        rows = VectorAssembler(inputCols=["code"], outputCol="features").transform(
-            sides.join(codes, "v"))
-        tested = ChiSquareTest.test(rows, "features", "side", True)
-        results.append(tested.select(F.lit(column).alias("column"), F.col("pValue").alias("value")))
-    out = results[0]
-    for other in results[1:]:
-        out = out.unionByName(other)
-    return out.select("column", F.lit("chi-square p-value").alias("method"),
+    counts = aligned_counts(reference, current, columns)
+    totals = counts.groupBy("column").agg(
+        F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
+    both = F.col("n_ref") + F.col("n_cur")
+    expected = both * F.col("t_ref") / (F.col("t_ref") + F.col("t_cur"))
+    # With two rows a value's terms differ from expectation by the same amount.
+    gap = F.col("n_ref") - expected
+    term = gap * gap / F.nullif(expected, F.lit(0.0)) + gap * gap / F.nullif(both - expected, F.lit(0.0))
+    tested = counts.join(F.broadcast(totals), "column").groupBy("column").agg(
+        F.when((F.max("t_ref") > 0) & (F.max("t_cur") > 0), F.sum(term)).alias("statistic"),
+        (F.count(F.lit(1)) - 1).alias("degrees"))
+    spark = reference.sparkSession
+    rows = _listed(spark, [(c, "") for c in columns]).select("column").join(
+        tested, "column", "left").collect()
+    graded = [(r["column"], r["statistic"], r["degrees"] or 0, None if r["statistic"] is None
+               else chi_square_tail(r["statistic"], r["degrees"])) for r in rows]
+    out = spark.createDataFrame(graded, "column string, statistic double, degrees long, value double")
+    return out.select("column", F.lit("chi-square p-value").alias("method"), "statistic", "degrees",
                       F.lit(P_VALUE_THRESHOLD).alias("threshold"), "value",
                       (F.col("value") < P_VALUE_THRESHOLD).alias("drifted"))
 
 
+def chi_square_tail(statistic: float, degrees: int) -> float:
+    """Probability of a larger statistic: the upper incomplete gamma function.
+
+    By its series below the mean, by its continued fraction (modified Lentz) above.
+    """
+    a, x = degrees / 2, statistic / 2
+    if degrees == 0 or x <= 0:
+        return 1.0
+    front = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1:
+        term = total = 1 / a
+        n = a
+        while term > total * 1e-16:
+            n += 1
+            term *= x / n
+            total += term
+        return max(0.0, 1 - front * total)
+    b, c, d = x + 1 - a, 1e300, 1 / (x + 1 - a)
+    h, i, step = d, 0, 0.0
+    while abs(step - 1) > 1e-15 and i < 100_000:
+        i += 1
+        an = i * (a - i)
+        b += 2
+        d = 1 / (an * d + b or 1e-300)
+        c = b + an / c or 1e-300
+        step = c * d
+        h *= step
+    return front * h
+
+
+def _listed(spark, methods: Sequence[tuple[str, str]]) -> DataFrame:
+    """(column, method), one row for each compared column."""
+    return spark.createDataFrame(list(methods), "column string, method string")
+
+
 def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str],
                 categorical: Sequence[str]) -> DataFrame:
-    """(column, method, threshold, value, drifted) for every compared column.
+    """(column, method, threshold, value, drifted), a row for every compared column.
 
     Categories, and numbers with at most five distinct values, are compared by
-    Jensen-Shannon distance, other numbers by normed Wasserstein distance.
+    Jensen-Shannon distance, other numbers by normed Wasserstein distance.  A
+    column without values on one side was not measured: value and drifted are null.
     """
-    pieces = []
+    if not numeric and not categorical:
+        raise ValueError("no column to compare")
+    pieces, methods = [], {c: "jensen-shannon" for c in categorical}
     if categorical:
-        pieces.append(js_distance(aligned_counts(reference, current, categorical))
-                      .withColumn("method", F.lit("jensen-shannon")))
+        pieces.append(js_distance(aligned_counts(reference, current, categorical)))
     if numeric:
         counts = materialize(aligned_numbers(reference, current, numeric), "drift")
         distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
-        few = {r["column"] for r in distinct.where(F.col("n_distinct") <= FEW_DISTINCT).collect()}
-        many = [c for c in numeric if c not in few]
-        if few:
-            pieces.append(js_distance(counts.where(F.col("column").isin(*few)))
-                          .withColumn("method", F.lit("jensen-shannon")))
+        # One row per column at most.
+        many = {r["column"] for r in distinct.where(F.col("n_distinct") > FEW_DISTINCT).collect()}
+        methods |= {c: "wasserstein" if c in many else "jensen-shannon" for c in numeric}
+        if len(many) < len(numeric):
+            pieces.append(js_distance(counts.where(~F.col("column").isin(*many)) if many else counts))
         if many:
-            pieces.append(wasserstein(counts.where(F.col("column").isin(*many)))
-                          .withColumn("method", F.lit("wasserstein")))
-    if not pieces:
-        raise ValueError("no column to compare")
+            pieces.append(wasserstein(counts.where(F.col("column").isin(*many))))
     table = pieces[0]
     for piece in pieces[1:]:
         table = table.unionByName(piece)
-    return table.select("column", "method", F.lit(DISTANCE_THRESHOLD).alias("threshold"), "value",
-                        (F.col("value") >= DISTANCE_THRESHOLD).alias("drifted"))
+    listed = _listed(reference.sparkSession, sorted(methods.items()))
+    return listed.join(table, "column", "left").select(
+        "column", "method", F.lit(DISTANCE_THRESHOLD).alias("threshold"), "value",
+        (F.col("value") >= DISTANCE_THRESHOLD).alias("drifted"))
 
 
 def drift_totals(table: DataFrame) -> DataFrame:
-    """Drifted count and share, and the sum of margins, of a drift table.
+    """Drifted and unmeasured columns, the drifted share, and the sum of margins.
 
-    Only distances have margins: a p-value falls as drift grows.  No usable
-    column at all is an error, not a clean result.
+    The share is that of all compared columns.  Only distances have margins: a
+    p-value falls as drift grows.  No measured column at all is an error, not a
+    clean result.
     """
     usable = F.col("value").isNotNull() & F.col("threshold").isNotNull()
     distance = usable & ~F.col("method").endswith("p-value")
@@ -195,6 +243,7 @@ def drift_totals(table: DataFrame) -> DataFrame:
     return table.agg(
         F.when(n == 0, F.raise_error("no column could be compared").cast("long"))
         .otherwise(F.count_if(F.col("drifted"))).alias("n_drifted"),
+        F.count_if(~usable).alias("n_unmeasured"),
         (F.count_if(F.col("drifted")) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("drifted_share"),
         F.sum(F.when(distance, F.col("value") - F.col("threshold"))).alias("margin_sum"),
     )
@@ -209,12 +258,14 @@ def margin_level(margin_sum: Column) -> Column:
     return F.when(margin_sum >= MARGIN_WARNING, WARNING).otherwise(OK)
 
 
-def feature_level(share: Column, margin_sum: Column) -> Column:
-    return worst(share_level(share), margin_level(margin_sum))
+def feature_level(share: Column, margin_sum: Column, unmeasured: Column) -> Column:
+    """Worst of share and margins; never ok while a compared column was not measured."""
+    measured = worst(share_level(share), margin_level(margin_sum))
+    return F.when((measured == OK) & (unmeasured > 0), INSUFFICIENT).otherwise(measured)
 
 
 def prediction_level(drifted: Column) -> Column:
-    return F.when(drifted, HIGH).otherwise(OK)
+    return F.when(drifted, HIGH).when(~drifted, OK).otherwise(INSUFFICIENT)
 
 
 def performance_level(task: str, current: Column, reference: Column, n_joined: Column) -> Column:

@@ -67,20 +67,34 @@ def merge(source: DataFrame, fresh: DataFrame, id_column: str) -> DataFrame:
     """Source rows whose id has no feedback, followed by the feedback rows.
 
     Ids are compared as text and a missing id equals a missing id.  Columns of
-    either side that the other lacks become null.
+    either side that the other lacks become null.  Rows without an id take no
+    part in the join: whether feedback has one is a single yes or no.
     """
-    ids = fresh.select(F.col(id_column).cast("string").alias("_id")).distinct()
-    kept = source.join(ids, F.col(id_column).cast("string").eqNullSafe(F.col("_id")), "left_anti")
+    key = F.col(id_column).cast("string")
+    missing = _has_missing_id(fresh, id_column)
+    kept = source.where(key.isNotNull()).join(_present_ids(fresh, id_column), key == F.col("_id"), "left_anti")
+    if not missing:
+        kept = kept.unionByName(source.where(key.isNull()))
     return as_texts(kept).unionByName(as_texts(fresh), allowMissingColumns=True)
 
 
 def replaced_count(source: DataFrame, fresh: DataFrame, id_column: str) -> DataFrame:
-    ids = fresh.select(F.col(id_column).cast("string").alias("_id")).distinct()
-    hit = source.select(F.col(id_column).cast("string").alias("_key")).join(
-        ids, F.col("_key").eqNullSafe(F.col("_id")), "left_semi")
+    key = F.col(id_column).cast("string")
+    hit = source.select(key.alias("_key")).where("_key is not null").join(
+        _present_ids(fresh, id_column), F.col("_key") == F.col("_id"), "left_semi")
+    if _has_missing_id(fresh, id_column):
+        hit = hit.unionByName(source.select(key.alias("_key")).where("_key is null"))
     return hit.agg(F.count(F.lit(1)).alias("replaced_records"))
 
 
+def _present_ids(fresh: DataFrame, id_column: str) -> DataFrame:
+    return fresh.select(F.col(id_column).cast("string").alias("_id")).where("_id is not null").distinct()
+
+
+def _has_missing_id(fresh: DataFrame, id_column: str) -> bool:
+    return not fresh.where(F.col(id_column).isNull()).isEmpty()
+
+
 def as_texts(df: DataFrame) -> DataFrame:
     return df.select(*[
         F.col(f.name) if isinstance(f.dataType, T.StringType)

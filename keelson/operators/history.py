@@ -16,10 +16,11 @@ def zoned_moment(text: Column) -> Column:
     return F.when(parse.trimmed(text).rlike(r"T.*([+-][0-9]{2}:?[0-9]{2}|Z)$"), parse.moment(text))
 
 
-def latest(summaries: DataFrame, model: str = "model_name", at: str = "computed_at") -> DataFrame:
-    """The newest summary of every model, from one aggregate."""
+def latest(summaries: DataFrame, model: str = "model_name", at: str = "computed_at",
+           run: str = "run_id") -> DataFrame:
+    """The newest summary of every model, from one aggregate; of equal times the largest run id."""
     rest = [c for c in summaries.columns if c != model]
-    newest = F.max_by(F.struct(*rest), F.col(at)).alias("_row")
+    newest = F.max_by(F.struct(*rest), F.struct(at, run)).alias("_row")
     return summaries.groupBy(model).agg(newest).select(model, "_row.*").select(*summaries.columns)
 
 

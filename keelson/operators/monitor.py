@@ -9,14 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.operators import clean, drift, feedback, metrics, rows, train
+from keelson.operators import clean, drift, feedback, metrics, train
 from keelson.operators.profile import side_by_side
 from keelson.session import materialize
 from keelson.spec import TableSpec
 
-REFERENCE_ROWS = 10_000
-REFERENCE_SEED = 42
-
 
 def live_scores(joined: DataFrame, task: str, threshold: float) -> DataFrame:
     """Scores of matched predictions; classes are cut at the model's threshold."""
@@ -28,10 +25,6 @@ def live_scores(joined: DataFrame, task: str, threshold: float) -> DataFrame:
     return side_by_side(metrics.classification(flat, "t", "a"), metrics.auc(flat, "t", "p"))
 
 
-def reference_sample(train_set: DataFrame, n: int, seed: int, key: Column) -> DataFrame:
-    return rows.sample_exact(train_set, n, seed, key)
-
-
 def clean_category(spec: TableSpec):
     def read(name: str, raw: Column) -> Column:
         return clean.read_as(spec[name].kind, raw, T.StringType())
@@ -41,11 +34,11 @@ def clean_category(spec: TableSpec):
 def summarize(predictions: DataFrame, outcomes: DataFrame, train_set: DataFrame,
               model: train.TrainedModel, spec: TableSpec, *, model_name: str,
               model_version: str, reference_scores: dict[str, float], run_id: str,
-              now: datetime, key: Column, reference_rows: int = REFERENCE_ROWS) -> DataFrame:
-    """The summary row of a run.
+              now: datetime) -> DataFrame:
+    """The summary row of a run, against the whole train set.
 
-    ``predictions`` are the window's log rows.  They and the reference sample
-    are stored once, since every part reads them.
+    ``predictions`` are the window's log rows, stored once, since every part
+    reads them.
     """
     task = model.task
     spark = predictions.sparkSession
@@ -57,11 +50,9 @@ def summarize(predictions: DataFrame, outcomes: DataFrame, train_set: DataFrame,
     numbers: dict[str, float | None] = {}
     flagged: list = []
     if n >= drift.MIN_PREDICTIONS:
-        sample = materialize(reference_sample(train_set, reference_rows, REFERENCE_SEED, key),
-                             "reference")
         seen = _sent_columns(window, spec, task)
         current_raw = clean.decode_json(window.select("raw_input"), "raw_input", seen)
-        reference = clean.clean_table(sample, spec, numeric_booleans=True)
+        reference = materialize(clean.clean_table(train_set, spec, numeric_booleans=True), "reference")
         current = materialize(clean.clean_table(current_raw, spec, numeric_booleans=True), "current")
         numeric, categorical = (
             [c for c in group if c in current.columns and c in reference.columns]
@@ -69,11 +60,12 @@ def summarize(predictions: DataFrame, outcomes: DataFrame, train_set: DataFrame,
         )
         table = drift.drift_table(reference, current, numeric, categorical)
         totals = drift.drift_totals(table).withColumn(
-            "level", drift.feature_level(F.col("drifted_share"), F.col("margin_sum"))).first()
+            "level", drift.feature_level(
+                F.col("drifted_share"), F.col("margin_sum"), F.col("n_unmeasured"))).first()
         levels["feature"] = totals["level"]
-        numbers |= {"drifted_share": totals["drifted_share"], "margin_sum": totals["margin_sum"]}
+        numbers |= {k: totals[k] for k in ("drifted_share", "margin_sum", "n_unmeasured")}
 
-        answered = model.score(sample).select(F.col("prediction").cast("double"))
+        answered = model.score(train_set).select(F.col("prediction").cast("double"))
         served = window.select(F.col("prediction").cast("double"))
         moved = drift.drift_table(answered, served,
                                   ["prediction"] if task == "regression" else [],

@@ -117,11 +117,11 @@ def numeric_columns(df: DataFrame, spec: TableSpec, columns: Sequence[str]) -> l
     return chosen
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], small: int | None = None) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing rate, moments, range and quartiles, one row per column.
 
-    One aggregate covers all columns.  Quartiles are exact: built in up to a
-    counted size, by order statistics beyond it.
+    One aggregate covers all columns.  Quartiles are exact, by order
+    statistics.
     """
     values = {
         c: F.nanvl(clean.read_as("numeric", F.col(c), df.schema[c].dataType)
@@ -139,9 +139,8 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], small: int | None = N
     )
     rows = df.sparkSession.createDataFrame(stats.collect(), stats.schema)
     counts = {r["column"]: r["n"] for r in rows.collect()}
-    limit = ranking.EXACT_IN_ONE_TASK if small is None else small
     quartiles = ranking.linear_quantiles(read, list(columns), (0.25, 0.5, 0.75),
-                                         {c: counts.get(c, 0) for c in columns}, limit)
+                                         {c: counts.get(c, 0) for c in columns})
     table = df.sparkSession.createDataFrame(
         [(c, *q) for c, q in quartiles.items()],
         "column string, p25 double, p50 double, p75 double",

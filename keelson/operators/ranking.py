@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from keelson.session import materialize
 
 BINS = 4096
-FINISH_ROWS = 8192
 
 
 @dataclass
@@ -44,8 +43,7 @@ def order_statistics(
 ) -> dict[str, dict[int, float]]:
     """The values at the given 0-based ascending positions, per double column.
 
-    Nulls and NaN are ignored.  The driver sees at most ``bins`` counts per open
-    range, and there are never more open ranges than asked ranks.
+    Nulls and NaN are ignored.  The driver sees one row per asked rank and pass.
     """
     names = [c for c, wanted in ranks.items() if wanted]
     if not names:
@@ -74,11 +72,11 @@ def order_statistics(
         open_ranges = _narrow(longs, still, bins)
 
 
-def _way(rng: _Range) -> str:
-    """How a range is cut: infinite ends apart, few rows by value, else equal widths."""
+def _way(rng: _Range, bins: int) -> str:
+    """How a range is cut: infinite ends apart, no more rows than bins by value, else equal widths."""
     if math.isinf(rng.low) or math.isinf(rng.high):
         return "ends"
-    if rng.rows <= FINISH_ROWS or rng.high / 2 - rng.low / 2 == 0:
+    if rng.rows <= bins or rng.high / 2 - rng.low / 2 == 0:
         return "values"
     return "bins"
 
@@ -86,7 +84,7 @@ def _way(rng: _Range) -> str:
 def _narrow(longs: DataFrame, ranges: list[_Range], bins: int) -> list[_Range]:
     spark = longs.sparkSession
     table = spark.createDataFrame(
-        [(i, r.column, r.low, r.high, _way(r)) for i, r in enumerate(ranges)],
+        [(i, r.column, r.low, r.high, _way(r, bins)) for i, r in enumerate(ranges)],
         "range_id int, column string, low double, high double, way string",
     )
     # Halved first, so that the widest finite range does not overflow.
@@ -107,19 +105,22 @@ def _narrow(longs: DataFrame, ranges: list[_Range], bins: int) -> list[_Range]:
         )
         .agg(F.count("value").alias("rows"), F.min("value").alias("low"),
              F.max("value").alias("high"))
-        .collect()
     )
-    narrowed = []
-    for i, rng in enumerate(ranges):
-        before = rng.below
-        pieces = sorted((r for r in counted if r["range_id"] == i), key=lambda r: r["low"])
-        for piece in pieces:
-            inside_ranks = [k for k in rng.ranks if before <= k < before + piece["rows"]]
-            if inside_ranks:
-                narrowed.append(_Range(rng.column, piece["low"], piece["high"], before,
-                                       piece["rows"], inside_ranks))
-            before += piece["rows"]
-    return narrowed
+    # A range has at most ``bins`` pieces; those that hold an asked rank are kept.
+    asked = spark.createDataFrame([(i, r.below, k) for i, r in enumerate(ranges) for k in r.ranks],
+                                  "range_id int, below long, rank long")
+    earlier = Window.partitionBy("range_id").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    first = F.col("below") + F.col("before")
+    hits = placed.join(F.broadcast(asked), "range_id").where(
+        (F.col("rank") >= first) & (F.col("rank") < first + F.col("rows"))).select(
+        "range_id", "low", "high", first.alias("first"), "rows", "rank").collect()
+    narrowed: dict[tuple, _Range] = {}
+    for r in sorted(hits, key=lambda r: (r["range_id"], r["rank"])):
+        piece = narrowed.setdefault((r["range_id"], r["low"]), _Range(
+            ranges[r["range_id"]].column, r["low"], r["high"], r["first"], r["rows"], []))
+        piece.ranks.append(r["rank"])
+    return list(narrowed.values())
 
 
 def kth_smallest(df: DataFrame, value: Column, k: int) -> float:
@@ -130,30 +131,19 @@ def kth_smallest(df: DataFrame, value: Column, k: int) -> float:
     return hit["value"][k]
 
 
-EXACT_IN_ONE_TASK = 2_000_000
-
-
 def linear_quantiles(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float],
-    counts: Mapping[str, int] | None = None, small: int = EXACT_IN_ONE_TASK,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation, exact at any size.
+    """Quantiles with linear interpolation between the two neighbouring order statistics.
 
-    Up to ``small`` rows the built-in ``percentile`` is used: it keeps the
-    distinct values of a column in one task, so its input must be counted first.
-    Beyond that the two neighbouring order statistics are looked up.
+    The built-in ``percentile`` would keep the distinct values of a column in
+    one task.
     """
     if counts is None:
         row = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")))
                        .alias(c) for c in columns]).first()
         counts = row.asDict()
-    if max(counts.values(), default=0) <= small:
-        row = df.agg(*[
-            F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
-                         F.array(*[F.lit(float(s)) for s in shares])).alias(c)
-            for c in columns
-        ]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(shares) for c in columns}
     spots = {c: [s * (counts[c] - 1) for s in shares] for c in columns if counts[c]}
     ranks = {c: sorted({int(p) for p in at} | {min(int(p) + 1, counts[c] - 1) for p in at})
              for c, at in spots.items()}

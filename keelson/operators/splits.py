@@ -15,18 +15,17 @@ from keelson.spec import FEEDBACK, MOMENT_COLUMN, ORIGINAL, TableSpec
 TRAIN, TEST, SIMULATION = "train", "test", "simulation"
 
 # Sizes and shares of the sets.
-SIMULATION_ROWS = 20_000
 SIMULATION_SHARE = 0.10
 TEST_SHARE = 0.20
 UNDATED_TEST_SHARE = 0.20
 FEEDBACK_TEST_SHARE = 0.20
 
 
-def split_points(days: DataFrame, day: str = "day") -> DataFrame:
+def split_points(days: DataFrame, day: str = "day", most_held: int | None = None) -> DataFrame:
     """One row ``t1, t2`` for a column of event days.
 
-    From t2 on lie about min(20,000, 10%) of the dated rows; from t1 to t2 about
-    20% of the rest.  Rows of a boundary day all go to the later side.
+    From t2 on lie about 10% of the dated rows, at most ``most_held`` if that is
+    given; from t1 to t2 about 20% of the rest.  Rows of a boundary day all go to the later side.
 
     The rows are only counted per day, with partial counts before the shuffle.
     The windows run over that table, which the calendar bounds to a few
@@ -36,8 +35,9 @@ def split_points(days: DataFrame, day: str = "day") -> DataFrame:
         F.count(F.lit(1)).alias("n"))
     upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.partitionBy()
-    held = F.least(F.lit(SIMULATION_ROWS),
-                   F.floor(F.col("total") * F.lit(SIMULATION_SHARE)).cast("int"))
+    held = F.floor(F.col("total") * F.lit(SIMULATION_SHARE))
+    if most_held is not None:
+        held = F.least(held, F.lit(most_held))
     counted = per_day.select(
         "day", "n", F.sum("n").over(upto).alias("cum"),
         F.sum("n").over(everything).alias("total"),

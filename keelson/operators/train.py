@@ -39,13 +39,13 @@ FOLDS = 5
 GRIDS = {
     "ridge": {"alpha": [0.1, 1.0, 10.0]},
     "xgboost": {"maxIter": [100, 300], "maxDepth": [3, 6], "stepSize": [0.05, 0.1]},
-    "random_forest": {"numTrees": [100, 300], "maxDepth": [5, 10, 20]},
+    "random_forest": {"numTrees": [100, 300], "maxDepth": [30, 10, 20]},
     "svm": {"regParam": [0.1, 1.0, 10.0]},
 }
 DEFAULTS = {
     "ridge": {"alpha": 1.0},
     "xgboost": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3},
-    "random_forest": {"numTrees": 100, "maxDepth": 20},
+    "random_forest": {"numTrees": 100, "maxDepth": 30},  # 30 is MLlib's deepest
     "svm": {"regParam": 1.0},
 }
 LABEL = "_label"

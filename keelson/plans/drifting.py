@@ -17,7 +17,14 @@ SIDES = {
     "town": "CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' AND user_id % 3 > 0 THEN 'phoenix' "
             "WHEN user_id % 2 = 0 THEN 'boston' ELSE 'miami' END",
 }
+# A number that stops arriving at the change, a category that starts with it, and one never sent.
+SIDES |= {
+    "gone": "CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN value END",
+    "new_code": "CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN event_type END",
+    "never": "CAST(NULL AS STRING)",
+}
 _SELECT = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in SIDES.items()) + " FROM events WHERE ts "
+_SELECT = _SELECT.replace("AS STRING", "AS VARCHAR")
 REFERENCE_SQL = _SELECT + "< TIMESTAMP '2024-01-16 00:00:00'"
 CURRENT_SQL = _SELECT + ">= TIMESTAMP '2024-01-16 00:00:00'"
 NUMBERS, CATEGORIES = ["value", "hour", "few"], ["event_type", "town"]
@@ -46,10 +53,12 @@ def _aligned(columns, text: bool) -> str:
 
 def js_sql(columns, text: bool = True) -> str:
     return f"""
-SELECT "column", sqrt(sum(CASE WHEN p > 0 THEN 0.5E0 * p * ln(p / ((p + q) / 2)) ELSE 0 END
-  + CASE WHEN q > 0 THEN 0.5E0 * q * ln(q / ((p + q) / 2)) ELSE 0 END)) AS value
-FROM (SELECT "column", n_ref / sum(n_ref) OVER (PARTITION BY "column") AS p,
-  n_cur / sum(n_cur) OVER (PARTITION BY "column") AS q FROM ({_aligned(columns, text)})) GROUP BY 1"""
+SELECT "column", CASE WHEN min(tr) > 0 AND min(tc) > 0 THEN
+  sqrt(sum(CASE WHEN p > 0 THEN 0.5E0 * p * ln(p / ((p + q) / 2)) ELSE 0 END
+  + CASE WHEN q > 0 THEN 0.5E0 * q * ln(q / ((p + q) / 2)) ELSE 0 END)) END AS value
+FROM (SELECT *, n_ref / nullif(tr, 0) AS p, n_cur / nullif(tc, 0) AS q FROM (
+  SELECT *, sum(n_ref) OVER (PARTITION BY "column") AS tr, sum(n_cur) OVER (PARTITION BY "column") AS tc
+  FROM ({_aligned(columns, text)}))) GROUP BY 1"""
 
 
 def wasserstein_sql(columns) -> str:
@@ -70,6 +79,14 @@ SELECT "column", method, 0.1E0 AS threshold, round(value, 9) AS value, value >=
 FROM (SELECT "column", 'jensen-shannon' AS method, value FROM ({js_sql(CATEGORIES)})
   UNION ALL SELECT "column", 'jensen-shannon', value FROM ({js_sql(["few"], False)})
   UNION ALL SELECT "column", 'wasserstein', value FROM ({wasserstein_sql(["value", "hour"])}))"""
+# The lost columns are compared by the method their values call for; none of them was measured.
+LOST_SQL = f"""{DRIFT_SQL}
+UNION ALL SELECT "column", c.method, 0.1E0, CASE WHEN n.ref > 0 AND n.cur > 0 THEN 0.0E0 END,
+  CASE WHEN n.ref > 0 AND n.cur > 0 THEN FALSE END
+FROM (VALUES ('gone', 'wasserstein'), ('new_code', 'jensen-shannon'), ('never', 'jensen-shannon'))
+  AS c("column", method)
+LEFT JOIN (SELECT "column", sum(n_ref) AS ref, sum(n_cur) AS cur
+  FROM ({_aligned(["gone", "new_code", "never"], True)}) GROUP BY 1) n USING ("column")"""
 
 
 def drift_rows(spark, folder):
@@ -99,26 +116,55 @@ def feature_drift(spark, folder):
     return drift_rows(spark, folder).withColumn("value", F.round("value", 9))
 
 
-@query("D4")
+@query("D1 D2 D3", LOST_SQL)
+def drift_with_lost_columns(spark, folder):
+    """Columns without values on one side, or on both, keep their rows, unmeasured."""
+    found = drift.drift_table(*sides(spark, folder), [*NUMBERS, "gone"], [*CATEGORIES, "new_code", "never"])
+    return found.withColumn("value", F.round("value", 9))
+
+
+@query("D4", f"""
+SELECT c."column", round(sum((n_ref - e) * (n_ref - e) / e + (n_ref - e) * (n_ref - e)
+  / (n_ref + n_cur - e)), 6) AS statistic, count(*) - 1 AS degrees
+FROM (SELECT *, (n_ref + n_cur) * tr / (tr + tc) AS e FROM (SELECT *,
+  sum(n_ref) OVER (PARTITION BY "column") AS tr, sum(n_cur) OVER (PARTITION BY "column") AS tc
+  FROM ({_aligned(CATEGORIES, True)}))) c GROUP BY 1""")
 def chi_square_drift(spark, folder):
-    return drift.chi_square(*sides(spark, folder), CATEGORIES)
+    """Statistic and degrees of freedom; the p-value is a function of these two."""
+    found = drift.chi_square(*sides(spark, folder), CATEGORIES)
+    return found.select("column", F.round("statistic", 6).alias("statistic"), "degrees")
 
 
-@query("A17 A18 D6 D7", f"""
-SELECT n_drifted, round(share, 9) AS drifted_share, round(margin, 6) AS margin_sum,
-  CASE WHEN share > 0.5 THEN 'high' WHEN share >= 0.3 OR margin >= 0 THEN 'warning' ELSE 'ok' END
-    AS feature_level,
+def _severity_sql(source: str) -> str:
+    return f"""
+SELECT n_drifted, n_unmeasured, round(share, 9) AS drifted_share, round(margin, 6) AS margin_sum,
+  CASE WHEN share > 0.5 THEN 'high' WHEN share >= 0.3 OR margin >= 0 THEN 'warning'
+    WHEN n_unmeasured > 0 THEN 'insufficient_data' ELSE 'ok' END AS feature_level,
   CASE WHEN margin >= 0 THEN 'warning' ELSE 'ok' END AS margin_level
 FROM (SELECT count(*) FILTER (WHERE drifted) AS n_drifted,
+  count(*) FILTER (WHERE value IS NULL) AS n_unmeasured,
   count(*) FILTER (WHERE drifted) / count(*) AS share, sum(value - threshold) AS margin
-  FROM ({DRIFT_SQL}))""")
-def feature_severity(spark, folder):
-    totals = drift.drift_totals(drift_rows(spark, folder))
-    return totals.select(
-        "n_drifted", F.round("drifted_share", 9).alias("drifted_share"),
+  FROM ({source}))"""
+
+
+def _severity(table):
+    return drift.drift_totals(table).select(
+        "n_drifted", "n_unmeasured", F.round("drifted_share", 9).alias("drifted_share"),
         F.round("margin_sum", 6).alias("margin_sum"),
-        drift.feature_level(F.col("drifted_share"), F.col("margin_sum")).alias("feature_level"),
-        drift.margin_level(F.col("margin_sum")).alias("margin_level"))
+        drift.feature_level(F.col("drifted_share"), F.col("margin_sum"), F.col("n_unmeasured"))
+        .alias("feature_level"), drift.margin_level(F.col("margin_sum")).alias("margin_level"))
+
+
+@query("A17 A18 D6 D7", _severity_sql(DRIFT_SQL))
+def feature_severity(spark, folder):
+    return _severity(drift_rows(spark, folder))
+
+
+@query("A17 A18 D6 D7", _severity_sql(f"""SELECT * FROM ({LOST_SQL}) WHERE "column" IN ('value', 'hour',
+  'gone')"""))
+def feature_severity_with_lost_column(spark, folder):
+    """Two columns that did not move and one that was lost: not ok."""
+    return _severity(drift.drift_table(*sides(spark, folder), ["value", "hour", "gone"], []))
 
 
 @query("D8", f"SELECT CASE WHEN bool_or(value >= 0.1) THEN 'high' ELSE 'ok' END AS level "

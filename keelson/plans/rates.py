@@ -48,11 +48,11 @@ _RATIO_SQL = f"""
 SELECT window_start, count(*) AS requests, CAST(count(*) FILTER (WHERE s = 500) AS BIGINT) AS errors,
   count(*) FILTER (WHERE s = 500) / count(*) AS error_ratio,
   count(*) FILTER (WHERE s = 500) / count(*) > 0.01 AS above
-FROM (SELECT *, {_STATUS} AS s FROM ({_spread(14400, 3600)})) GROUP BY 1"""
+FROM (SELECT *, {_STATUS} AS s FROM ({_spread(300, 60)})) GROUP BY 1"""
 
 
 def _ratios(spark, folder):
-    return windows.error_ratio(_requests(spark, folder), size="4 hours", slide="1 hour")
+    return windows.error_ratio(_requests(spark, folder), size="5 minutes", slide="1 minute")
 
 
 @query("R6", _RATIO_SQL)
@@ -62,10 +62,10 @@ def error_ratios(spark, folder):
 
 @query("R6", f"""
 SELECT window_start, 5 AS steps_above FROM (SELECT window_start, above,
-  count(*) FILTER (WHERE above) OVER (ORDER BY window_start RANGE BETWEEN INTERVAL 4 HOUR PRECEDING
+  count(*) FILTER (WHERE above) OVER (ORDER BY window_start RANGE BETWEEN INTERVAL 4 MINUTE PRECEDING
     AND CURRENT ROW) AS steps FROM ({_RATIO_SQL})) WHERE above AND steps = 5""")
 def held_error_alerts(spark, folder):
-    held = windows.held_alerts(_ratios(spark, folder), "1 hour", "4 hours")
+    held = windows.held_alerts(_ratios(spark, folder), "1 minute", "4 minutes")
     return held.withColumn("steps_above", F.col("steps_above").cast("int"))
 
 
@@ -109,10 +109,27 @@ def latency_quantiles(spark, folder):
 
 @query("R8", """
 SELECT to_timestamp(CAST(floor(epoch_us(ts) / 1000000 / 300) AS BIGINT) * 300)::TIMESTAMP
-  AS window_start, max(event_id) - min(event_id) AS increase FROM events GROUP BY 1
-HAVING max(event_id) > min(event_id)""")
+  AS window_start, max_by(counter, (ts, counter)) - min_by(counter, (ts, counter)) AS increase
+FROM (SELECT ts, event_id % 50 AS counter FROM events) GROUP BY 1
+HAVING max_by(counter, (ts, counter)) > min_by(counter, (ts, counter))""")
 def counter_increases(spark, folder):
-    return windows.counter_increase(_requests(spark, folder), "ts", "event_id")
+    """A counter that starts again from zero after fifty requests."""
+    counted = _requests(spark, folder).withColumn("counter", F.col("event_id") % 50)
+    return windows.counter_increase(counted, "ts", "counter")
+
+
+@contextmanager
+def _setting(spark, key, value):
+    """Holds a setting for as long as a stream is started, and puts the old one back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 @contextmanager
@@ -130,11 +147,34 @@ def _stream_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def _as_stream(spark, df, label, per_trigger=1):
-    """Stores a table and reads it back as a stream of its files."""
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+SLICES, FILES_PER_SLICE = 8, 2
+
+
+def _as_stream(spark, df, label, at=None, path=None):
+    """Stores a table and reads it back as a stream of its files, some at a time.
+
+    With ``at``, slices of equal length in time are stored one after the other, as a log
+    grows, each in ``FILES_PER_SLICE`` files, and a trigger reads one slice.
+    """
+    path = path or scratch_path(spark, label)
+    if at is None:
+        df.repartition(SLICES * FILES_PER_SLICE).write.parquet(path)
+    else:
+        start, width = _slices(df, at)
+        number = F.least(F.floor((F.col(at).cast("timestamp").cast("double") - start) / width), F.lit(SLICES - 1))
+        for k in range(SLICES):
+            df.where(number == k).repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES_PER_SLICE).parquet(path)
+
+
+def _slices(df, at):
+    ends = df.agg(F.min(F.col(at).cast("timestamp").cast("double")), F.max(F.col(at).cast("timestamp").cast("double"))).first()
+    return ends[0] or 0.0, max(((ends[1] or 0.0) - (ends[0] or 0.0)) / SLICES, 1.0)
+
+
+def _delay(df, at):
+    """Twice the time a trigger spans: files of neighbouring slices may share a trigger."""
+    return f"{int(2 * _slices(df, at)[1]) + 60} seconds"
 
 
 def _log(spark, folder):
@@ -159,9 +199,9 @@ def streamed_without_repeats(spark, folder):
     """A log in which every fourth request was written twice."""
     log = _log(spark, folder)
     again = log.where(F.pmod(F.xxhash64("request_id"), F.lit(4)) == 0)
-    stream = _as_stream(spark, log.unionByName(again).coalesce(1), "repeats-in")
+    stream = _as_stream(spark, log.unionByName(again), "repeats-in", "timestamp")
     path = scratch_path(spark, "once")
-    once = jobs.drop_repeats(stream, "365 days")
+    once = jobs.drop_repeats(stream, _delay(log, "timestamp"))
     with _stream_partitions(spark):
         jobs.log_sink(once, path, scratch_path(spark, "once-state"), available_now=True) \
             .awaitTermination()
@@ -182,8 +222,9 @@ def streamed_late_outcomes(spark, folder):
         F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("request_id"),
         F.expr(_REPORTED).cast("timestamp").alias("reported_at"),
         F.expr(S.OUTCOME_RULES["actual"]).alias("actual"))
-    joined = jobs.join_late_outcomes(_as_stream(spark, predictions.coalesce(1), "p-in"),
-                                     _as_stream(spark, late.coalesce(1), "o-in"))
+    joined = jobs.join_late_outcomes(
+        _as_stream(spark, predictions, "p-in", "timestamp"), _as_stream(spark, late, "o-in", "reported_at"),
+        latest="3 days", delay=_delay(late, "reported_at"))
     path = scratch_path(spark, "late")
     with _stream_partitions(spark):
         jobs.log_sink(joined, path, scratch_path(spark, "late-state"), available_now=True) \
@@ -194,36 +235,41 @@ def streamed_late_outcomes(spark, folder):
 @query("R3", f"""
 SELECT window_start, window_start + INTERVAL 24 HOUR AS window_end, count(*) AS n,
   round(sum(coalesce(value, 0)), 6) AS total FROM ({_spread(86400, 21600)})
-WHERE window_start + INTERVAL 24 HOUR <= (SELECT date_trunc('day', max(ts)) FROM events)
 GROUP BY 1""")
 def streamed_activity(spark, folder):
-    """The sliding window as a stream; windows still open at the end are left out."""
-    stream = _as_stream(spark, _requests(spark, folder).coalesce(1), "activity-in")
-    activity = windows.window_activity(stream.withWatermark("ts", "10 minutes"), slide="6 hours")
+    """The sliding window as a stream, closed by one last row far behind the others."""
+    requests = _requests(spark, folder)
+    delay = _delay(requests, "ts")
+    end = requests.agg(F.max("ts").alias("ts")).first()["ts"]
+    last = requests.where(F.col("ts") == F.lit(end)).limit(1).withColumn(
+        "ts", F.col("ts") + F.expr("INTERVAL 3650 DAYS"))
+    path_in = scratch_path(spark, "activity-in")
+    stream = _as_stream(spark, requests, "activity-in", "ts", path_in)
+    last.write.mode("append").parquet(path_in)
+    activity = windows.window_activity(stream.withWatermark("ts", delay), slide="6 hours")
     path = scratch_path(spark, "activity")
     writer = activity.writeStream.format("parquet").outputMode("append").option("path", path) \
         .option("checkpointLocation", scratch_path(spark, "activity-state"))
     with _stream_partitions(spark):
         writer.trigger(availableNow=True).start().awaitTermination()
-    last = table(spark, folder, "events").agg(
-        F.date_trunc("day", F.max("ts")).cast("timestamp").alias("last")).first()["last"]
-    return spark.read.parquet(path).where(F.col("window_end") <= F.lit(last)).withColumn(
+    return spark.read.parquet(path).where(F.col("window_start") <= F.lit(end)).withColumn(
         "total", F.round("total", 6))
 
 
 @query("R10 T10", STREAKS_SQL)
 def streamed_streaks(spark, folder):
     """Warning streaks kept in streaming state, run by run."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     levels = part_levels(spark, folder).withColumn("run_at", F.col("dt").cast("timestamp"))
-    stream = _as_stream(spark, levels.repartition(1), "levels-in")
+    stream = _as_stream(spark, levels, "levels-in", "run_at")
     path = scratch_path(spark, "streaks")
 
-    def keep(batch, _):
-        batch.write.mode("append").parquet(path)
+    def keep(batch, number):
+        # A batch that is tried again replaces what its first try wrote.
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    with _stream_partitions(spark):
+    store = ("spark.sql.streaming.stateStore.providerClass",
+             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    with _stream_partitions(spark), _setting(spark, *store):
         jobs.live_streaks(stream).writeStream.outputMode("update").foreachBatch(keep).option(
             "checkpointLocation", scratch_path(spark, "streaks-state")
         ).trigger(availableNow=True).start().awaitTermination()

@@ -19,7 +19,7 @@ def split_points_sql(days: str) -> str:
     return f"""
 WITH d AS (SELECT day FROM ({days}) WHERE day IS NOT NULL),
 p AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS pos FROM d),
-n AS (SELECT count(*) AS total, least(20000, CAST(floor(count(*) * 0.1E0) AS BIGINT)) AS held,
+n AS (SELECT count(*) AS total, CAST(floor(count(*) * 0.1E0) AS BIGINT) AS held,
       max(day) AS last FROM d),
 t2 AS (SELECT CASE WHEN held > 0 THEN (SELECT day FROM p WHERE pos = total - held)
        ELSE CAST(last + INTERVAL 1 DAY AS DATE) END AS t2, total FROM n),

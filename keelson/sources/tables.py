@@ -10,7 +10,7 @@ import hashlib
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,9 +18,6 @@ from keelson.operators import clean, profile, splits
 from keelson.operators.rows import FILE_ORDER, with_file_order
 from keelson.spec import ORIGINAL, TableSpec
 
-PREVIEW_STATS_ROWS = 200_000
-PREVIEW_SAMPLE_ROWS = 200
-
 RULE = T.StructType([
     T.StructField("t1", T.StringType()),
     T.StructField("t2", T.StringType()),
@@ -56,15 +53,12 @@ def read_csv_text(spark: SparkSession, path: str, *, multi_line: bool = False) -
     return raw.na.fill("")
 
 
-def ingest_csv(spark: SparkSession, source: str, target: str, limit: int | None = None,
-               *, multi_line: bool = False) -> int:
+def ingest_csv(spark: SparkSession, source: str, target: str, *, multi_line: bool = False) -> int:
     """Copies a CSV into all-text Parquet; returns the rows written.
 
     A header without rows writes nothing.
     """
     raw = read_csv_text(spark, source, multi_line=multi_line)
-    if limit is not None:
-        raw = raw.limit(limit)
     if raw.isEmpty():
         return 0
     raw.write.mode("errorifexists").parquet(target)
@@ -79,13 +73,18 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str] | None =
 def head(df: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows in file order of a Parquet scan.
 
-    No file can give more than its own first ``n`` rows, so the rest never
-    reaches the sort.
+    Rows are counted per file, which reads no column; only the files that hold
+    the first ``n`` give rows, and each only as many as are still wanted.
     """
     if n < 1:
         raise ValueError(f"rows must be positive, got {n}")
-    placed = with_file_order(df).where(F.col("_row") < n)
-    return placed.orderBy(*FILE_ORDER).limit(n).drop(*FILE_ORDER)
+    placed = with_file_order(df)
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+    wanted = sizes.select("_file", (n - F.coalesce(F.sum("_rows").over(before), F.lit(0))).alias("_left")) \
+        .where("_left > 0")
+    found = placed.join(F.broadcast(wanted), "_file").where(F.col("_row") < F.col("_left"))
+    return found.orderBy(*FILE_ORDER).select(*df.columns)
 
 
 def head_and_total(df: DataFrame, n: int) -> tuple[DataFrame, int]:
@@ -170,10 +169,25 @@ def ensure_manifest(spark: SparkSession, root: str, version: str, spec: TableSpe
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """One row that changes with the content of a table, whatever its row order."""
-    hashes = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
+    """One row that changes with the content of a table, whatever its row order.
+
+    Every value enters as the MD5 of its text, so that other engines can check
+    it: floating numbers by their bits, times in microseconds, lists by element.
+    """
+    parts = [F.coalesce(_mark(F.col(f"`{f.name}`"), f.dataType), F.lit("~")) for f in df.schema.fields]
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("row_count"),
-                  F.coalesce(hashes, F.lit(0)).cast("string").alias("content"))
+                  F.coalesce(F.sum(digest), F.lit(0)).cast("string").alias("content"))
+
+
+def _mark(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.ArrayType):
+        return F.array_join(F.transform(value, lambda x: _mark(x, kind.elementType)), ",", "~")
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return F.round(value.cast("double") * 1_000_000).cast("decimal(38,0)").cast("string")
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(value.cast("timestamp")).cast("string")
+    return F.md5(value.cast("string"))
 
 
 def short_key(*parts: str) -> str:
@@ -213,11 +227,9 @@ def prepared_sets(spark: SparkSession, root: str, key: str, task: str, build, *,
     return spark.read.parquet(paths[0]), spark.read.parquet(paths[1])
 
 
-def preview(df: DataFrame, spec: TableSpec, rows: int = 50,
-            stats_rows: int = PREVIEW_STATS_ROWS) -> tuple[DataFrame, DataFrame, int]:
-    """(raw sample rows, per-column stats of the first rows, exact total)."""
-    first, total = head_and_total(df, stats_rows)
-    stats = profile.validation_columns(clean.blanks_as_null(first), spec)
-    return head(df, min(rows, PREVIEW_SAMPLE_ROWS)), stats, total
+def preview(df: DataFrame, spec: TableSpec, rows: int = 50) -> tuple[DataFrame, DataFrame, int]:
+    """(the first raw rows, per-column stats of all rows, exact total)."""
+    first, total = head_and_total(df, rows)
+    return first, profile.validation_columns(clean.blanks_as_null(df), spec), total
 
 

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
 FLUSH_INTERVAL = "30 seconds"
-LATEST_OUTCOME = "30 days"
 
 
 def _start(writer, available_now: bool, interval: str) -> StreamingQuery:
@@ -27,8 +26,13 @@ def log_sink(predictions: DataFrame, path: str, checkpoint: str, *, available_no
     One trigger writes at most one file per task, model and day.  The file
     sink's own record of finished batches makes a retried batch appear once.
     """
+    return _sink(predictions, F.to_date("timestamp"), path, checkpoint, available_now, interval)
+
+
+def _sink(rows: DataFrame, day: Column, path: str, checkpoint: str, available_now: bool,
+          interval: str) -> StreamingQuery:
     writer = (
-        predictions.withColumn("dt", F.to_date("timestamp")).writeStream
+        rows.withColumn("dt", day).writeStream
         .format("parquet").outputMode("append").partitionBy("model_name", "dt")
         .option("path", path).option("checkpointLocation", checkpoint)
     )
@@ -38,25 +42,29 @@ def log_sink(predictions: DataFrame, path: str, checkpoint: str, *, available_no
 def outcome_sink(outcomes: DataFrame, path: str, checkpoint: str, *, available_now: bool = False,
                  interval: str = FLUSH_INTERVAL) -> StreamingQuery:
     """Appends outcomes under the day of the prediction they belong to."""
-    return log_sink(outcomes.withColumn("timestamp", F.col("predicted_on").cast("timestamp")),
-                    path, checkpoint, available_now=available_now, interval=interval)
+    return _sink(outcomes, F.col("predicted_on"), path, checkpoint, available_now, interval)
 
 
-def drop_repeats(log: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drops requests written twice by an at-least-once writer."""
+def drop_repeats(log: DataFrame, delay: str) -> DataFrame:
+    """Drops requests written twice by an at-least-once writer.
+
+    ``delay`` must cover how far rows of one trigger lie apart, and a repeat from
+    its request.  Rows that come later still are left out, and counted by Spark as
+    ``numRowsDroppedByWatermark`` of the query's progress.
+    """
     return log.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["request_id"])
 
 
-def join_late_outcomes(predictions: DataFrame, outcomes: DataFrame,
-                       latest: str = LATEST_OUTCOME) -> DataFrame:
+def join_late_outcomes(predictions: DataFrame, outcomes: DataFrame, latest: str, delay: str) -> DataFrame:
     """Predictions with the outcomes reported up to ``latest`` after them.
 
-    The time bound lets Spark forget old predictions; the batch join has none.
-    ``outcomes`` needs ``reported_at``.
+    The time bound lets Spark forget old predictions.  It leaves out outcomes that
+    come later: whoever sets it runs ``feedback.join_outcomes``, which has no bound,
+    over the stored logs for those.  ``outcomes`` needs ``reported_at``.
     """
-    p = predictions.withWatermark("timestamp", "1 hour").alias("p")
+    p = predictions.withWatermark("timestamp", delay).alias("p")
     o = outcomes.select("request_id", "actual", "reported_at").withWatermark(
-        "reported_at", "1 hour").alias("o")
+        "reported_at", delay).alias("o")
     on = F.expr(
         "p.request_id = o.request_id AND o.reported_at >= p.timestamp "
         f"AND o.reported_at <= p.timestamp + INTERVAL {latest}")

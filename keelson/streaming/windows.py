@@ -125,7 +125,11 @@ def latency_quantiles(counts: DataFrame, endpoint: str, shares: Sequence[float]
 
 def counter_increase(df: DataFrame, at: str, counter: str, size: str = "5 minutes",
                      keys: Sequence[str] = ()) -> DataFrame:
-    """Rise of a counter per window; windows without a rise are left out."""
-    spans = df.groupBy(F.window(at, size).start.alias("window_start"), *keys).agg(
-        (F.max(counter) - F.min(counter)).alias("increase"))
+    """Last value less first value per window; windows without a rise are left out.
+
+    A counter that starts again from zero shows no rise in that window.
+    """
+    spans = df.where(F.col(counter).isNotNull()).groupBy(
+        F.window(at, size).start.alias("window_start"), *keys).agg(
+        (F.max(F.struct(at, counter))[counter] - F.min(F.struct(at, counter))[counter]).alias("increase"))
     return spans.where(F.col("increase") > 0)

@@ -2,6 +2,8 @@
 
 import json
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,7 +169,7 @@ def grade(spark, column):
 ])
 def test_feature_level_edges(spark, share, margin, level):
     margin = F.lit(margin).cast("double")
-    assert grade(spark, drift.feature_level(F.lit(share), margin)) == level
+    assert grade(spark, drift.feature_level(F.lit(share), margin, F.lit(0))) == level
 
 
 @pytest.mark.parametrize(("task", "now", "then", "n", "level"), [
@@ -265,6 +267,43 @@ def test_scenarios_move_one_column(spark):
     assert grade(spark, scenario.adjust_truth(F.lit(420000.0), "market_rally", "regression")) == 504000.0
 
 
+def test_lost_columns_stay_and_never_grade_ok(spark):
+    ref = spark.createDataFrame([(float(i), "a", None, 1.0) for i in range(40)], "x double, c string, d string, z double")
+    cur = spark.createDataFrame([(None, "a", "n", 1.0)] * 40, "x double, c string, d string, z double")
+    table = drift.drift_table(ref, cur, ["x", "z"], ["c", "d"])
+    found = {r["column"]: (r["value"], r["drifted"]) for r in table.collect()}
+    assert found == {"x": (None, None), "c": (0.0, False), "d": (None, None), "z": (0.0, False)}
+    totals = drift.drift_totals(table)
+    assert tuple(totals.first()[:3]) == (0, 2, 0.0)
+    level = totals.select(drift.feature_level(F.col("drifted_share"), F.col("margin_sum"), F.col("n_unmeasured")))
+    assert level.first()[0] == "insufficient_data"
+
+
+@pytest.mark.parametrize(("statistic", "degrees", "p"), [
+    (3.841459, 1, 0.05), (0.0, 3, 1.0), (18.307038, 10, 0.05), (2.0, 2, 0.36787944), (300.0, 2, 7.1750959731644e-66)])
+def test_chi_square_tail(statistic, degrees, p):
+    assert drift.chi_square_tail(statistic, degrees) == pytest.approx(p, rel=2e-3)
+
+
+@pytest.mark.parametrize(("statistic", "degrees"), [(1000.0, 900), (850.0, 900), (25_000.0, 24_500), (9.0, 8)])
+def test_chi_square_tail_is_a_poisson_sum_for_even_degrees(statistic, degrees):
+    x = statistic / 2
+    want = math.fsum(math.exp(k * math.log(x) - x - math.lgamma(k + 1)) for k in range(degrees // 2))
+    assert drift.chi_square_tail(statistic, degrees) == pytest.approx(want, rel=1e-8)
+
+
+def test_counter_that_starts_again(spark):
+    from keelson.streaming import windows
+    df = spark.createDataFrame([(0, 90), (10, 95), (20, 2), (400, 2), (410, 9)], "s long, n long").select(
+        F.timestamp_seconds("s").alias("at"), "n")
+    assert [r["increase"] for r in windows.counter_increase(df, "at", "n").collect()] == [7]
+
+
+def test_latest_breaks_ties_by_run(spark):
+    df = spark.createDataFrame([("m", "t", "r1"), ("m", "t", "r3"), ("m", "t", "r2")], "model_name string, computed_at string, run_id string")
+    assert history.latest(df).first()["run_id"] == "r3"
+
+
 def test_chi_square_sees_a_moved_category(spark):
     ref = spark.createDataFrame([("a",)] * 50 + [("b",)] * 50, "city string")
     cur = spark.createDataFrame([("a",)] * 5 + [("b",)] * 95, "city string")

@@ -25,11 +25,12 @@ def test_thousand_days_give_720_180_100(spark, spec):
         "train": 720, "test": 180, "simulation": 100}
 
 
-def test_simulation_stops_at_20000(spark):
+def test_simulation_takes_its_share_unless_told_otherwise(spark):
     days = spark.range(300_000).select(
         F.date_add(F.lit("1200-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
-    row = splits.split_points(days).first()
-    assert days.where(F.col("day") >= F.lit(row["t2"])).count() == 20_000
+    for most, want in ((None, 30_000), (20_000, 20_000)):
+        row = splits.split_points(days, most_held=most).first()
+        assert days.where(F.col("day") >= F.lit(row["t2"])).count() == want
 
 
 def test_one_day_only_leaves_no_simulation(spark, spec):
@@ -137,21 +138,16 @@ def test_order_statistics_match_a_sort(spark, values):
     ranks = sorted({0, len(values) // 3, len(values) // 2, len(values) - 1})
     want = {k: float(sorted(values)[k]) for k in ranks}
     assert ranking.order_statistics(df, {"v": ranks}, bins=4)["v"] == want
-    # Force narrowing instead of finishing exactly.
-    keep, ranking.FINISH_ROWS = ranking.FINISH_ROWS, 1
-    try:
-        assert ranking.order_statistics(df, {"v": ranks}, bins=16)["v"] == want
-    finally:
-        ranking.FINISH_ROWS = keep
+    assert ranking.order_statistics(df, {"v": ranks}, bins=16)["v"] == want
 
 
-def test_quantiles_by_both_ways_agree(spark):
+def test_quantiles_equal_the_built_in_ones(spark):
     df = spark.range(997).select((F.col("id") * 7919 % 997 / 3).alias("v"), F.lit(1.5).alias("w"))
     shares = [0.25, 0.5, 0.75, 0.99]
-    whole = ranking.linear_quantiles(df, ["v", "w"], shares)
-    narrowed = ranking.linear_quantiles(df, ["v", "w"], shares, small=0)
+    found = ranking.linear_quantiles(df, ["v", "w"], shares)
     for column in ("v", "w"):
-        assert whole[column] == pytest.approx(narrowed[column])
+        want = df.agg(F.percentile(column, F.array(*map(F.lit, shares)))).first()[0]
+        assert found[column] == pytest.approx(want)
 
 
 def test_global_rank_with_a_hot_value(spark):
