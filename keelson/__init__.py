@@ -1,5 +1,5 @@
 """Spark jobs for the data work around tabular machine learning."""
 
-from keelson.spec import ColumnSpec, TableSpec, house_spec
+from keelson.spec import TableSpec, expected, house_spec
 
-__all__ = ["ColumnSpec", "TableSpec", "house_spec"]
+__all__ = ["TableSpec", "expected", "house_spec"]

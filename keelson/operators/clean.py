@@ -86,7 +86,7 @@ def finish_columns(read: DataFrame, spec: TableSpec, *, clip: bool = True,
         if name in spec:
             column = spec[name]
             if clip and column.bounded:
-                value = parse.clip(value, column.min_value, column.max_value)
+                value = parse.clip(value, column.low, column.high)
             if numeric_booleans and column.kind == "boolean":
                 value = value.cast("double")
             if split_date and name == spec.date_column:
@@ -103,7 +103,7 @@ def clip_outliers(df: DataFrame, spec: TableSpec) -> DataFrame:
     read = df.withColumns({
         f.name: read_as("numeric", F.col(f.name), f.dataType) for f in bounded})
     return read.withColumns({
-        f.name: parse.clip(F.col(f.name), spec[f.name].min_value, spec[f.name].max_value)
+        f.name: parse.clip(F.col(f.name), spec[f.name].low, spec[f.name].high)
         for f in bounded
     })
 
@@ -221,8 +221,8 @@ def task_label(df: DataFrame, spec: TableSpec, task: str) -> Column:
             raise ValueError(f"cannot read a number from {source!r} of kind {kind!r}")
         return read_as(kind, F.col(source), dtype)
     value = read_as("categorical", F.col(source), dtype)
-    known = value if spec[source].allowed is None else F.when(
-        value.isin(*spec[source].allowed), value)
+    known = value if spec[source].words is None else F.when(
+        value.isin(*spec[source].words), value)
     derived = known.isin(*spec.positive_values)
     label = spec.target(task)
     if label in df.columns and label != source:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, fields
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
@@ -19,27 +19,12 @@ from pyspark.sql import functions as F
 
 from keelson.operators import clean, ranking
 from keelson.operators.profile import rank_per_column, value_counts
-from keelson.spec import ColumnSpec, TableSpec
+from keelson.spec import TableSpec
 
 RARE_SHARE = 0.01
 RARE = "infrequent"
 
 
-def spec_to_json(spec: TableSpec) -> str:
-    return json.dumps(asdict(spec))
-
-
-def spec_from_json(text: str) -> TableSpec:
-    raw = json.loads(text)
-    columns = tuple(
-        ColumnSpec(**{**c, "allowed": tuple(c["allowed"]) if c["allowed"] else None})
-        for c in raw.pop("columns")
-    )
-    known = {f.name for f in fields(TableSpec)}
-    return TableSpec(columns=columns, **{
-        k: tuple(v) if isinstance(v, list) else v for k, v in raw.items() if k in known})
-
-
 class _JsonStage(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """A stage whose whole setup is one JSON text."""
 
@@ -62,11 +47,11 @@ class RawFeatures(_JsonStage):
 
     @classmethod
     def of(cls, spec: TableSpec, task: str) -> RawFeatures:
-        return cls(json.dumps({"spec": spec_to_json(spec), "task": task}))
+        return cls(json.dumps({"spec": spec.to_json(), "task": task}))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         setup = self.settings()
-        spec, task = spec_from_json(setup["spec"]), setup["task"]
+        spec, task = TableSpec.from_json(setup["spec"]), setup["task"]
         numeric, categorical = spec.encoded_features(task)
         # Copies under other names, so ids and labels stay as they were sent.
         held = df.columns
@@ -83,7 +68,7 @@ class RawFeatures(_JsonStage):
                 year, month = spec.date_parts
                 finished |= {year: F.year(value), month: F.month(value)}
             elif spec[c].bounded:
-                finished[c] = clean.parse.clip(value, spec[c].min_value, spec[c].max_value)
+                finished[c] = clean.parse.clip(value, spec[c].low, spec[c].high)
             else:
                 finished[c] = value
         return copies.select(

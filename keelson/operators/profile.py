@@ -37,7 +37,7 @@ def validation_row(df: DataFrame, spec: TableSpec) -> DataFrame:
             numbers[fld.name] = clean.read_as("numeric", value, fld.dataType).alias(
                 f"{fld.name}:number")
             parts.append(F.count_if(parse.outside(
-                F.col(f"`{fld.name}:number`"), column.min_value, column.max_value))
+                F.col(f"`{fld.name}:number`"), column.low, column.high))
                 .alias(f"{fld.name}:outside"))
     measured = df.select(*flags.values(), *numbers.values()).agg(*parts)
     if spec.id_column not in df.columns:

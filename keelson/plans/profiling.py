@@ -16,10 +16,10 @@ def _outside_sql(name: str) -> str:
         return "0"
     value = S.sql_number(name)
     tests = []
-    if column.min_value is not None:
-        tests.append(f"({value}) < {float(column.min_value)}")
-    if column.max_value is not None:
-        tests.append(f"({value}) > {float(column.max_value)}")
+    if column.low is not None:
+        tests.append(f"({value}) < {float(column.low)}")
+    if column.high is not None:
+        tests.append(f"({value}) > {float(column.high)}")
     return f"count(*) FILTER (WHERE {' OR '.join(tests)})"
 
 

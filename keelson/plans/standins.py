@@ -243,10 +243,10 @@ def sql_clean(name: str, clip: bool = True) -> str:
     value = _READERS[column.kind](name)
     if clip and column.bounded:
         bounded = value
-        if column.min_value is not None:
-            bounded = f"greatest({bounded}, {float(column.min_value)})"
-        if column.max_value is not None:
-            bounded = f"least({bounded}, {float(column.max_value)})"
+        if column.low is not None:
+            bounded = f"greatest({bounded}, {float(column.low)})"
+        if column.high is not None:
+            bounded = f"least({bounded}, {float(column.high)})"
         value = f"CASE WHEN ({value}) IS NOT NULL THEN {bounded} END"
     return value
 

@@ -53,8 +53,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS.setdefault(app, tempfile.mkdtemp(prefix="keelson-"))
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where one application keeps everything it stores between its steps."""
+    return f"{shared_folder(spark)}/keelson/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/keelson/{label}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def close(spark: SparkSession) -> bool:
+    """Removes what the application stored between steps; to be called when its results are written.
+
+    Results that were returned but not yet written may still read from there.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
