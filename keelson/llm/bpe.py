@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 from keelson.llm.frames import named
 
 #: So much text is encoded together.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+#: Places that are looked up and entered into the index in one go.
+INDEXED_AT_ONCE = 500_000
 #: Known words are forgotten beyond so many.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 400_000
 #: Longer texts are searched for words in parts of about so many characters.
 PART_CHARS = 1 << 20
 
@@ -117,13 +119,13 @@ def encode_words(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray
     ends = np.cumsum(lengths)
     symbols = vocabulary.first[np.frombuffer(b"".join(words), np.uint8)]
     n = len(symbols)
-    following = np.arange(1, n + 1, dtype=np.int64)
+    following = np.arange(1, n + 1, dtype=np.int32)
     following[ends[lengths > 0] - 1] = -1
-    before = np.arange(-1, n - 1, dtype=np.int64)
+    before = np.arange(-1, n - 1, dtype=np.int32)
     before[(ends - lengths)[lengths > 0]] = -1
     index = PairIndex()
-    at = np.flatnonzero(following >= 0)
-    if len(at):
+    for start in range(0, n, INDEXED_AT_ONCE):
+        at = (start + np.flatnonzero(following[start:start + INDEXED_AT_ONCE] >= 0)).astype(np.int32)
         index.add(vocabulary.ranks(symbols[at], symbols[at + 1]), at)
     while index.heap:
         rank, at = index.pop()
@@ -194,12 +196,12 @@ class Encoder:
         out = []
         for piece in self.special.split(text) if self.special else [text]:
             if self.special and piece in self.vocabulary.special:
-                out.append(np.array([-1 - self.vocabulary.special[piece]], np.int64))
+                out.append(np.array([-1 - self.vocabulary.special[piece]], np.int32))
             elif piece:
                 for part in self._parts(piece):
                     found = self.words.findall(part)
-                    out.append(np.fromiter(map(self.places.__getitem__, found), np.int64, len(found)))
-        return np.concatenate(out) if out else np.empty(0, np.int64)
+                    out.append(np.fromiter(map(self.places.__getitem__, found), np.int32, len(found)))
+        return np.concatenate(out) if out else np.empty(0, np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.places) > KNOWN_WORDS:

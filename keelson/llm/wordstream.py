@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are cut into pieces of about so many bytes, at document borders.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
