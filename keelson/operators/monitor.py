@@ -34,11 +34,13 @@ def clean_category(spec: TableSpec):
 def summarize(predictions: DataFrame, outcomes: DataFrame, train_set: DataFrame,
               model: train.TrainedModel, spec: TableSpec, *, model_name: str,
               model_version: str, reference_scores: dict[str, float], run_id: str,
-              now: datetime) -> DataFrame:
+              now: datetime, window_hours: float = 24.0, reference_source: str = "train",
+              reference_groups: DataFrame | None = None, previous: DataFrame | None = None) -> DataFrame:
     """The summary row of a run, against the whole train set.
 
     ``predictions`` are the window's log rows, stored once, since every part
-    reads them.
+    reads them.  ``reference_groups`` are group scores of the model's test set,
+    ``previous`` the summary of the run before, from which streaks go on.
     """
     task = model.task
     spark = predictions.sparkSession
@@ -49,6 +51,7 @@ def summarize(predictions: DataFrame, outcomes: DataFrame, train_set: DataFrame,
     levels = dict.fromkeys(drift.PARTS, drift.INSUFFICIENT)
     numbers: dict[str, float | None] = {}
     flagged: list = []
+    grades = groups = None
     if n >= drift.MIN_PREDICTIONS:
         seen = _sent_columns(window, spec, task)
         current_raw = clean.decode_json(window.select("raw_input"), "raw_input", seen)
@@ -80,6 +83,8 @@ def summarize(predictions: DataFrame, outcomes: DataFrame, train_set: DataFrame,
         levels["input_quality"] = drift.quality_level(graded, n).first()["level"]
         # One entry per feature column at most.
         flagged = [r["column"] for r in drift.flagged_columns(graded).collect()]
+        grades = graded.agg(F.sort_array(F.collect_list(F.struct(
+            "column", "missing_increase_points", "unseen_share", "level"))).alias("column_grades"))
         if reference_scores and n_joined >= drift.MIN_GROUND_TRUTH:
             live = live_scores(joined, task, model.threshold or 0.5)
             name = metrics.COMPARED[task]
@@ -87,21 +92,54 @@ def summarize(predictions: DataFrame, outcomes: DataFrame, train_set: DataFrame,
                 task, F.col(name), F.lit(reference_scores.get(name)).cast("double"),
                 F.lit(n_joined))).first().asDict()
             levels["performance"] = graded_live.pop("level")
+            groups = _side_by_side(group_scores(joined, spec, task, model.threshold or 0.5),
+                                   reference_groups, name)
             numbers |= {f"current_{k}": v for k, v in graded_live.items()}
+    streaks = _streaks(levels, model_version, previous)
     row = spark.range(1).select(
         F.lit(model_name).alias("model_name"), F.lit(model_version).alias("model_version"),
         F.lit(task).alias("task_type"), F.lit(run_id).alias("run_id"),
         F.lit(now.isoformat()).alias("computed_at"), F.lit(n).alias("n_predictions"),
         F.lit(n_joined).alias("n_ground_truth"),
+        F.lit(float(window_hours)).alias("window_hours"), F.lit(reference_source).alias("reference_source"),
         F.struct(*[F.lit(v).alias(k) for k, v in levels.items()]).alias("parts"),
+        F.struct(*[F.lit(v).cast("long").alias(k) for k, v in streaks.items()]).alias("consecutive_warnings"),
         F.lit(model.threshold).cast("double").alias("decision_threshold"),
         F.array(*[F.lit(c) for c in flagged]).cast("array<string>").alias("flagged_columns"),
         *[F.lit(v).cast("double").alias(k) for k, v in numbers.items()],
         *[F.lit(v).cast("double").alias(f"reference_{k}") for k, v in reference_scores.items()],
     )
+    # Both hold one row: an entry per feature column, and per value of a group column.
+    row = row.crossJoin(grades) if grades is not None else row.withColumn(
+        "column_grades", F.lit(None).cast(_GRADES))
+    row = row.crossJoin(groups) if groups is not None else row.withColumn("groups", F.lit(None).cast(_GROUPS))
     return row.withColumn("severity", drift.worst(*[F.col(f"parts.{p}") for p in drift.PARTS]))
 
 
+_GRADES = "array<struct<column: string, missing_increase_points: double, unseen_share: double, level: string>>"
+_GROUPS = ("array<struct<group_column: string, group_name: string, n: bigint, insufficient_data: boolean, "
+           "score: double, reference_score: double>>")
+
+
+def _side_by_side(live: DataFrame, reference: DataFrame | None, score: str) -> DataFrame:
+    """Live group scores in one array, beside the reference's where it has the group."""
+    names = ["group_column", "group_name"]
+    rows = live.select(*names, "n", "insufficient_data", F.col(score).alias("score"))
+    if reference is None:
+        rows = rows.withColumn("reference_score", F.lit(None).cast("double"))
+    else:
+        rows = rows.join(reference.select(*names, F.col(score).alias("reference_score")), names, "left")
+    return rows.agg(F.sort_array(F.collect_list(F.struct(
+        *names, "n", "insufficient_data", "score", "reference_score"))).cast(_GROUPS).alias("groups"))
+
+
+def _streaks(levels: dict[str, str], version: str, previous: DataFrame | None) -> dict[str, int]:
+    """Runs in a row at warning per part; another model version starts over."""
+    last = previous.select("model_version", "consecutive_warnings").first() if previous is not None else None
+    before = last["consecutive_warnings"].asDict() if last and last["model_version"] == version else {}
+    return {p: (before.get(p) or 0) + 1 if level == drift.WARNING else 0 for p, level in levels.items()}
+
+
 def group_scores(joined: DataFrame, spec: TableSpec, task: str, threshold: float) -> DataFrame:
     """Live scores per group of the served raw rows."""
     keep = [c for c in joined.columns if c != "raw_input"]

@@ -155,28 +155,32 @@ def plan_rows(df: DataFrame, spec: TableSpec, task: str, rules: dict, sample_row
               seed: int, order: Sequence[str] = FILE_ORDER) -> SetPlan:
     """Train and test rows of a run; ``order`` names the columns that say which row is first.
 
-    Counting and drawing work on the planning and order columns only, stored
-    once.  The test set is never sampled, so it is the same for every sample
-    size.
+    They must tell rows apart.  Rows are deduplicated, labelled, placed and drawn
+    once, on the planning and order columns only; the whole rows are then joined
+    once to their places and stored by set.  The test set is never sampled, so it
+    is the same for every sample size.
     """
     if sample_rows is not None and sample_rows < 1:
         raise ValueError(f"sample size must be positive, got {sample_rows}")
+    target = spec.target(task)
     light = df.select(*dict.fromkeys([*spec.planning_columns(task, df.columns), *order]))
-    order = [F.col(c) for c in order]
     total = df.count()
     # A row without an id is still one row after deduplication.
     key = F.coalesce(F.col(spec.id_column).cast("string"), F.lit(""))
     placed = materialize(
-        flag_rows(light, spec, task, rules, order).select(key.alias("key"), "set_name"), "plan")
+        flag_rows(light, spec, task, rules, [F.col(c) for c in order]).select(
+            *order, key.alias("_key"), F.col(target).alias("_label"), "set_name"), "plan")
     counts = plan_counts(placed, total).first().asDict()
-    flagged = flag_rows(df, spec, task, rules, order)
-    train = flagged.where(F.col("set_name") == splits.TRAIN)
+    in_train, in_test = (F.col("set_name") == name for name in (splits.TRAIN, splits.TEST))
     if sample_rows is not None and sample_rows < counts["train_available"]:
-        names = placed.where(F.col("set_name") == splits.TRAIN)
-        draw, digest = sample_cut(names, sample_rows, seed, F.col("key"))
-        train = train.where(drawn_within(seed, key, draw, digest))
+        draw, digest = sample_cut(placed.where(in_train), sample_rows, seed, F.col("_key"))
+        in_train = in_train & drawn_within(seed, F.col("_key"), draw, digest)
+    wanted = placed.where(in_train | in_test).select(*order, "_label", "set_name")
+    names = list(dict.fromkeys([*df.columns, target]))
+    rows = materialize(df.drop(target).join(wanted, list(order)).withColumnRenamed("_label", target)
+                       .select(*names, "set_name"), "sets")
     return SetPlan(
-        train.drop("set_name"),
-        flagged.where(F.col("set_name") == splits.TEST).drop("set_name"),
+        rows.where(F.col("set_name") == splits.TRAIN).drop("set_name"),
+        rows.where(F.col("set_name") == splits.TEST).drop("set_name"),
         counts,
     )

@@ -159,6 +159,18 @@ def choose_threshold(scored: DataFrame, truth: Column, probability: Column,
     return ranking.kth_smallest(positive, F.col("p"), n - needed)
 
 
+def choose_thresholds(scored: DataFrame, group: Column, truth: Column, probability: Column,
+                      recall: float = TARGET_RECALL) -> dict:
+    """``choose_threshold`` for each group, all groups in the same passes over the rows."""
+    rows = scored.select(group.alias("g"), F.when(truth, probability.cast("double")).alias("p"))
+    counts = {r["g"]: r["n"] for r in rows.groupBy("g").agg(F.count("p").alias("n")).collect()}
+    names = {g: f"p{k}" for k, g in enumerate(g for g, n in counts.items() if n)}
+    ranks = {name: [counts[g] - max(math.ceil(recall * counts[g]), 1)] for g, name in names.items()}
+    found = ranking.order_statistics(rows.select(*[
+        F.when(F.col("g").eqNullSafe(F.lit(g)), F.col("p")).alias(name) for g, name in names.items()]), ranks)
+    return {g: found[names[g]][ranks[names[g]][0]] if n else 0.5 for g, n in counts.items()}
+
+
 def _score_fold(model: TrainedModel, rows: DataFrame) -> float:
     """Lower is better for both tasks."""
     scored = model.score(rows)

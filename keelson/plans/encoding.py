@@ -9,8 +9,10 @@ from keelson.operators import clean, encode, rows, splits, train
 from keelson.operators.profile import rank_per_column, value_counts
 from keelson.plans import standins as S
 from keelson.plans.registry import query, table
-from keelson.plans.splitting import house_rules
+from keelson.plans.profiling import histogram_sql
+from keelson.plans.splitting import HOUSE_POINTS_SQL, house_rules, set_name_sql
 from keelson.session import materialize
+from keelson.spec import NUMBER_KINDS
 
 _NUMBERS = ["lot_size_sqft", "bedrooms", "school_rating", "has_pool"]
 _WORDS = ["city", "zipcode", "property_type", "condition"]
@@ -106,9 +108,8 @@ def ridge_training_run(spark, folder):
 def svm_training_run(spark, folder):
     """Group scores of a calibrated linear classifier at its own threshold."""
     learn, test = _sets(spark, folder, "classification")
-    model = train.fit(learn, S.SPEC, "classification", "svm", ties=[F.col("row_key")],
-                      settings={"maxIter": 10})
-    _, groups = train.evaluate_job(test, S.SPEC, "classification", model, None, None, 20)
+    model = train.fit(learn, S.SPEC, "classification", "svm", ties=[F.col("row_key")])
+    _, groups = train.evaluate_job(test, S.SPEC, "classification", model, None, None)
     return groups.withColumn("threshold", F.lit(model.threshold))
 
 
@@ -116,8 +117,7 @@ def svm_training_run(spark, folder):
 def tuned_ridge(spark, folder):
     """Test scores of a ridge whose penalty was picked on forward folds."""
     learn, test = _sets(spark, folder, "regression")
-    model = train.fit(learn, S.SPEC, "regression", "ridge", ties=[F.col("row_key")], tuned=True,
-                      grid={"alpha": [1.0, 1000.0]}, folds=3)
+    model = train.fit(learn, S.SPEC, "regression", "ridge", ties=[F.col("row_key")], tuned=True)
     labelled = test.withColumn(train.LABEL, train.label_column(test, S.SPEC, "regression"))
     return train.scores(model.score(labelled), "regression").withColumn(
         "alpha", F.lit(model.settings["alpha"]))
@@ -134,17 +134,52 @@ def recall_thresholds(spark, folder):
     scored = table(spark, folder, "customer").select(
         (F.col("c_nationkey") % 5).alias("bucket"), (F.col("c_acctbal") / 10000).alias("score"),
         (F.col("c_mktsegment") == "BUILDING").alias("pos"))
-    found = [(b, train.choose_threshold(scored.where(F.col("bucket") == b), F.col("pos"),
-                                        F.col("score"))) for b in range(5)]
-    return spark.createDataFrame(found, "bucket int, threshold double")
+    found = train.choose_thresholds(scored, F.col("bucket"), F.col("pos"), F.col("score"))
+    return spark.createDataFrame(sorted(found.items()), "bucket int, threshold double")
 
 
-@query("M14 A8")
-def promotion_baseline(spark, folder):
-    """Histogram section of the train set's baseline."""
+_FEATURES = S.SPEC.features("regression")
+_SHARED = [c for c in _FEATURES if S.SPEC[c].kind not in NUMBER_KINDS]
+_TRAIN_SQL = (f"SELECT {', '.join(f'{S.sql_clean(c)} AS {c}' for c in _FEATURES)} FROM (SELECT h.* FROM "
+              f"({S.HOUSES_SQL}) h, ({HOUSE_POINTS_SQL}) WHERE {set_name_sql(S.sql_day('listing_date'))} = 'train')")
+_MEASURED = [c for c in _FEATURES if S.SPEC[c].kind in NUMBER_KINDS]
+_NUMBERS_SQL = f"SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _MEASURED)} FROM ({_TRAIN_SQL})"
+
+
+def _baseline(spark, folder):
+    """The sections of the train set's baseline."""
     from keelson.operators import profile
     raw = S.raw_houses(spark, folder)
     placed = splits.assign_split(raw, S.SPEC, house_rules(spark, folder)).where(
         "set_name = 'train'").drop("set_name")
     cleaned = materialize(clean.clean_table(placed, S.SPEC, split_date=False), "baseline")
-    return profile.compute_profile(cleaned, S.SPEC, S.SPEC.features("regression"))["histogram"]
+    return profile.compute_profile(cleaned, S.SPEC, _FEATURES)
+
+
+@query("M14 A8", histogram_sql(_NUMBERS_SQL, _MEASURED, 20))
+def promotion_baseline(spark, folder):
+    """Histogram section of the train set's baseline."""
+    return _baseline(spark, folder)["histogram"].select(
+        "column", "bin", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), "n")
+
+
+def _as_text(column: str) -> str:
+    return f"CAST({column} AS VARCHAR)"
+
+
+_WORDS_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {_as_text(c)} AS value FROM ({_TRAIN_SQL})" for c in _SHARED)
+
+
+@query("M14 A8", f"""
+SELECT "column", NULL AS value, round(1 - count(value) / count(*), 9) AS share, count(DISTINCT value) AS n
+FROM ({_WORDS_SQL}) GROUP BY 1
+UNION ALL SELECT "column", value, round(count(*) / sum(count(*)) OVER (PARTITION BY "column"), 9), count(*)
+FROM ({_WORDS_SQL}) WHERE value IS NOT NULL GROUP BY 1, 2""")
+def promotion_baseline_categories(spark, folder):
+    """Its categories: missing share and distinct values (null value), and the share of each value."""
+    found = _baseline(spark, folder)
+    missing = found["categorical"].select("column", F.lit(None).cast("string").alias("value"),
+                                          F.round("missing_rate", 9).alias("share"), F.col("n_unique").alias("n"))
+    return missing.unionByName(found["distribution"].select(
+        "column", "value", F.round("share", 9).alias("share"), "n"))

@@ -100,7 +100,7 @@ def numeric_profile_by_order_statistics(spark, folder):
     return spark.createDataFrame(rows, "column string, share double, value double")
 
 
-def _histogram_sql(source: str, columns: list[str], bins: int) -> str:
+def histogram_sql(source: str, columns: list[str], bins: int) -> str:
     parts = []
     for c in columns:
         parts.append(f"""
@@ -117,7 +117,7 @@ GROUP BY b, lo, hi""")
     return " UNION ALL ".join(parts)
 
 
-@query("A6", _histogram_sql("lineitem", ["l_quantity", "l_extendedprice"], 20))
+@query("A6", histogram_sql("lineitem", ["l_quantity", "l_extendedprice"], 20))
 def histograms(spark, folder):
     binned = profile.histogram(rows_of(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"])
     return binned.select("column", "bin", F.round("low", 6).alias("low"),

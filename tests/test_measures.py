@@ -299,6 +299,16 @@ def test_counter_that_starts_again(spark):
     assert [r["increase"] for r in windows.counter_increase(df, "at", "n").collect()] == [7]
 
 
+def test_streaks_go_on_from_the_previous_summary(spark):
+    levels = {"feature": "warning", "prediction": "ok", "performance": "warning", "input_quality": "high"}
+    previous = spark.createDataFrame([("1", {"feature": 2, "prediction": 4, "performance": 0, "input_quality": 1})],
+                                     "model_version string, consecutive_warnings struct<feature: long, "
+                                     "prediction: long, performance: long, input_quality: long>")
+    assert list(monitor._streaks(levels, "1", previous).values()) == [3, 0, 1, 0]
+    assert list(monitor._streaks(levels, "2", previous).values()) == [1, 0, 1, 0]
+    assert list(monitor._streaks(levels, "1", None).values()) == [1, 0, 1, 0]
+
+
 def test_latest_breaks_ties_by_run(spark):
     df = spark.createDataFrame([("m", "t", "r1"), ("m", "t", "r3"), ("m", "t", "r2")], "model_name string, computed_at string, run_id string")
     assert history.latest(df).first()["run_id"] == "r3"
