@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import bpe, html_text, id_files, jaccard, lm_scores, quality, sharding, substrings, templates, warc
+from keelson.llm import bpe, html_text, id_files, jaccard, lm_scores, oracles, quality, sharding, substrings, templates, warc
 from keelson.llm.frames import small_batches
 
 #: Vocabulary files are read where the tokenizers package lies; they are not part of this library.
@@ -16,7 +16,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracles.SQL
 
 
 def query(fn):
@@ -44,7 +44,7 @@ def op8_byte_sharding(spark, folder):
 def op1_warc_revisits(spark, folder):
     """Archives of ``pages`` with repeated payloads as revisits, as read back."""
     return warc.deduplicate(table(spark, folder, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "path", "offset")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri")
 
 
 @query
@@ -95,7 +95,8 @@ def op7_template_decontamination(spark, folder):
 def op4_stupid_backoff(spark, folder):
     """Scores of all ``documents`` under their own trigram counts."""
     return lm_scores.scores(table(spark, folder, "documents"), 3).select(
-        F.col("key").alias("doc_id"), "n_words", "log_score", "mean_log_score")
+        F.col("key").alias("doc_id"), "n_words", F.round("log_score", 4).alias("log_score"),
+        F.round("mean_log_score", 4).alias("mean_log_score"))
 
 
 @query
