@@ -432,14 +432,30 @@ def alert_rows(spark, folder):
     return history.alerts(newest, outcomes)
 
 
+def _live_groups_sql(model: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS group_column, {S.sql_words(f"json_extract_string(raw_input, '$.{c}')")} AS group_name, "
+        f"actual, prediction, probability FROM ({MATCHED_SQL}) WHERE model_name = '{model}'"
+        for c in S.SPEC.group_columns)
+
+
 @query("A13 D12", f"""
-SELECT group_name, count(*) AS n, count(*) < 50 AS insufficient_data,
-  CASE WHEN count(*) >= 50 THEN round(avg(abs(actual - prediction)), 6) END AS mae
-FROM (SELECT {S.sql_words("json_extract_string(raw_input, '$.city')")} AS group_name, actual,
-  prediction FROM ({MATCHED_SQL}) WHERE model_name = '{S.REGRESSOR}') GROUP BY 1""")
+SELECT group_column, group_name, count(*) AS n, count(*) < 50 AS insufficient_data,
+  CASE WHEN count(*) >= 50 THEN round(avg(abs(actual - prediction)), 6) END AS mae,
+  CASE WHEN count(*) >= 50 THEN round(sqrt(avg((actual - prediction) * (actual - prediction))), 6) END AS rmse
+FROM ({_live_groups_sql(S.REGRESSOR)}) WHERE group_name IS NOT NULL GROUP BY 1, 2""")
 def live_group_scores(spark, folder):
     out = monitor.group_scores(matched(spark, folder, S.REGRESSOR), S.SPEC, "regression", 0.5)
-    return out.where("group_column = 'city'").select(
-        "group_name", "n", "insufficient_data", F.round("mae", 6).alias("mae"))
+    return out.select("group_column", "group_name", "n", "insufficient_data",
+                      F.round("mae", 6).alias("mae"), F.round("rmse", 6).alias("rmse"))
 
 
+@query("A13 D12", f"""
+SELECT group_column, group_name, count(*) AS n, count(*) < 50 AS insufficient_data,
+  CASE WHEN count(*) >= 50 THEN round(count(*) FILTER (WHERE (actual > 0.5) = (probability >= 0.3)) / count(*), 9)
+    END AS accuracy
+FROM ({_live_groups_sql(S.CLASSIFIER)}) WHERE group_name IS NOT NULL GROUP BY 1, 2""")
+def live_group_scores_of_classifier(spark, folder):
+    out = monitor.group_scores(matched(spark, folder, S.CLASSIFIER), S.SPEC, "classification", 0.3)
+    return out.select("group_column", "group_name", "n", "insufficient_data",
+                      F.round("accuracy", 9).alias("accuracy"))

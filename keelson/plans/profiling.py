@@ -64,6 +64,27 @@ def validation_verdicts(spark, folder):
     return spark.createDataFrame(verdicts, "task string, ok boolean, n_fatal int")
 
 
+_SPARSE = "substr(row_key, 1, 1) < '5'"
+
+
+@query("A4", f"""
+SELECT 'absent column' AS broken, FALSE AS ok, 1 AS n_fatal
+UNION ALL SELECT 'no rows', count(*) > 0, CAST(count(*) = 0 AS INTEGER) FROM ({S.HOUSES_SQL}) WHERE FALSE
+UNION ALL SELECT 'sparse target', avg(missing) <= 0.5, CAST(avg(missing) > 0.5 AS INTEGER) FROM (
+  SELECT CASE WHEN {_SPARSE} AND trim(sale_price) <> '' THEN 0.0E0 ELSE 1.0E0 END AS missing
+  FROM ({S.HOUSES_SQL}))""")
+def validation_of_broken_tables(spark, folder):
+    """A table without a column, without rows, and with prices in a third of its rows."""
+    raw = S.raw_houses(spark, folder, [*S.SPEC.names, "row_key"])
+    whole = raw.drop("row_key")
+    sparse = raw.withColumn("sale_price", F.when(F.expr(_SPARSE), F.col("sale_price")))
+    broken = {"absent column": whole.drop("garage_spaces"), "no rows": whole.where("false"),
+              "sparse target": sparse.drop("row_key")}
+    reports = {name: profile.validate(df, S.SPEC, "regression") for name, df in broken.items()}
+    return spark.createDataFrame([(name, r["ok"], len(r["fatal"])) for name, r in reports.items()],
+                                 "broken string, ok boolean, n_fatal int")
+
+
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
