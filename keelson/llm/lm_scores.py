@@ -34,7 +34,7 @@ from keelson.session import materialize
 BACKOFF = 0.4
 CUTOFF = 2
 #: Text in a block, and n-grams in a part of the table for which parts are made.
-BLOCK_BYTES = 10 << 20
+BLOCK_BYTES = 3 << 20
 PART_NGRAMS = 1_000_000
 
 
@@ -56,9 +56,9 @@ class Block:
     def __init__(self, lengths: np.ndarray, vocabulary: np.ndarray, codes: np.ndarray):
         self.words = vocabulary[codes]
         begin = np.cumsum(lengths) - lengths
-        self.place = np.arange(len(codes)) - np.repeat(begin, lengths)
+        self.place = (np.arange(len(codes)) - np.repeat(begin, lengths)).astype(np.int32)
         self.gram, self.alive = self.words, np.ones(len(codes), bool)
-        self.order, self.asked = 1, np.arange(len(codes))
+        self.order, self.asked = 1, np.arange(len(codes), dtype=np.int32)
         self.counts = None
 
     def ask(self) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +71,7 @@ class Block:
         """Totals of the n-grams asked for; those not counted have 0."""
         if not hasattr(self, "of"):
             self.ask()
-        self.counts = np.zeros(len(self.words))
+        self.counts = np.zeros(len(self.words), np.uint32)
         self.counts[self.asked] = totals[self.of]
         self.alive = self.counts > 0
         del self.of
@@ -82,7 +82,7 @@ class Block:
         before[1:] = self.alive[:-1]
         gram = np.zeros_like(self.gram)
         gram[1:] = join_hashes(self.gram[:-1], self.words[1:])
-        self.asked = np.flatnonzero((self.place >= self.order) & before & self.alive)
+        self.asked = np.flatnonzero((self.place >= self.order) & before & self.alive).astype(np.int32)
         self.gram, self.order = gram, self.order + 1
 
 
@@ -142,25 +142,28 @@ def _replay(block: Block, totals: dict[int, np.ndarray], upto: int):
 def _requests(batches, orders, parts):
     for batch in batches:
         for row in range(batch.num_rows):
-            block, name = _open(batch, row), batch.column("block")[row].as_py()
-            totals = _totals(batch, row) if "answers" in batch.schema.names else {}
-            if totals:
-                for _ in _replay(block, totals, orders[0]):
-                    pass
-            out = []
-            for order in orders:
-                if block.order < order:
-                    block.lengthen()
-                grams, counts = block.ask()
-                of = ((grams >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-                cuts = np.searchsorted(of, np.arange(parts + 1, dtype=np.uint64))
-                for part in np.flatnonzero(np.diff(cuts)).tolist():
-                    a, b = cuts[part], cuts[part + 1]
-                    out.append((part, order, name, packed(np.diff(grams[a:b], prepend=np.uint64(0))),
-                                packed(counts[a:b].astype(np.uint32))))
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)],
-                                             names=["part", "order", "block", "grams", "counts"])
+            yield _requests_of(batch, row, orders, parts)
+
+
+def _requests_of(batch, row, orders, parts) -> pa.RecordBatch:
+    block, name = _open(batch, row), batch.column("block")[row].as_py()
+    if "answers" in batch.schema.names:
+        for _ in _replay(block, _totals(batch, row), orders[0]):
+            pass
+    out = []
+    for order in orders:
+        if block.order < order:
+            block.lengthen()
+        grams, counts = block.ask()
+        of = ((grams >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        cuts = np.searchsorted(of, np.arange(parts + 1, dtype=np.uint64))
+        for part in np.flatnonzero(np.diff(cuts)).tolist():
+            a, b = cuts[part], cuts[part + 1]
+            out.append((part, order, name, packed(np.diff(grams[a:b], prepend=np.uint64(0))),
+                        packed(counts[a:b].astype(np.uint32))))
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)],
+                                      names=["part", "order", "block", "grams", "counts"])
 
 
 def _add_up(table: pa.Table, cutoff: int) -> pa.Table:
@@ -181,25 +184,27 @@ def _add_up(table: pa.Table, cutoff: int) -> pa.Table:
 def _score(batches, order, total, backoff):
     for batch in batches:
         for row in range(batch.num_rows):
-            block, totals = _open(batch, row), _totals(batch, row)
-            score, context = None, None
-            for level in _replay(block, totals, order + 1):
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    if level.order == 1:
-                        score = np.log(level.counts) - np.log(total)
-                    else:
-                        after = np.log(level.counts[1:]) - np.log(context[:-1])
-                        lower = score + np.log(backoff) * (level.place >= level.order - 1)
-                        lower[1:] = np.where(level.alive[1:], after, lower[1:])
-                        score = lower
-                context = level.counts
-            lengths = batch.column("lengths")[row].values.to_numpy().astype(np.int64)
-            upto = np.concatenate([[0], np.cumsum(lengths)])
-            sums = [float(score[a:b].sum()) if b > a else 0.0 for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
-            means = [s / n if n else None for s, n in zip(sums, lengths.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("keys")[row].values, pa.array(lengths), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
-                names=["key", "n_words", "log_score", "mean_log_score"])
+            yield _scores_of(batch, row, order, total, backoff)
+
+
+def _scores_of(batch, row, order, total, backoff) -> pa.RecordBatch:
+    score, context = None, None
+    for level in _replay(_open(batch, row), _totals(batch, row), order + 1):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            if level.order == 1:
+                score = np.log(level.counts) - np.log(total)
+            else:
+                after = np.log(level.counts[1:]) - np.log(context[:-1])
+                score = score + np.log(backoff) * (level.place >= level.order - 1)
+                score[1:] = np.where(level.alive[1:], after, score[1:])
+        context = level.counts
+    lengths = batch.column("lengths")[row].values.to_numpy().astype(np.int64)
+    upto = np.concatenate([[0], np.cumsum(lengths)])
+    sums = [float(score[a:b].sum()) if b > a else 0.0 for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+    means = [s / n if n else None for s, n in zip(sums, lengths.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [batch.column("keys")[row].values, pa.array(lengths), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
+        names=["key", "n_words", "log_score", "mean_log_score"])
 
 
 def scores(docs: DataFrame, order: int = 3, key: str = "doc_id", text: str = "text", cutoff: int = CUTOFF,
