@@ -11,8 +11,9 @@ corpus_pipeline = importlib.import_module("corpus_pipeline")
 def folder(spark, tmp_path, prose):
     rows = [(k, t, "en", "s", len(t or "")) for k, t in prose]
     rows.append((900, "Words before it. " + "where did the old man who lived by the sea keep the boat that he built himself " + "and then some more words follow", "en", "s", 1))
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(
-        str(tmp_path / "documents.parquet"))
+    rows = [(*r, "x", None, 7) for r in rows]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string, "
+                                "n_words long, component_id long").repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, "where did the old man who lived by the sea keep the boat that he built himself")], "item_id long, text string").write.parquet(
         str(tmp_path / "benchmark.parquet"))
     return str(tmp_path)
