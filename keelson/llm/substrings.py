@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.frames import named, text_of
+from keelson.llm.frames import named, small_side, text_of
 from keelson.llm.wordstream import Piece, pieces, window_hashes, window_minima
 from keelson.session import materialize
 
@@ -124,7 +124,8 @@ def _repeated(candidates: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, at``: the candidates whose hash occurs at two or more places."""
     flat = candidates.select(*keys, F.explode(F.arrays_zip("at", "hash")).alias("c")).select(
         *keys, F.col("c.at").alias("at"), F.col("c.hash").alias("hash"))
-    often = flat.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+    # Stored, so that both sides of the join are plain shuffles: adaptive execution can then split a hot hash.
+    often = materialize(flat.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "often")
     return flat.join(often.hint("merge"), "hash", "left_semi").groupBy(*keys).agg(F.collect_list("at").alias("at"))
 
 
@@ -143,7 +144,10 @@ def repeated_places(docs: DataFrame, window: int = 35, text: str = "text") -> Da
     copies = nodes.filter("copies > 1").select("node", "copies", F.array().cast("array<int>").alias("at"))
     found = _repeated(nodes, ["node"])
     if len(lengths) > 1:
-        survivors = texts.dropDuplicates(["node"]).join(found.hint("merge"), "node")
+        found = materialize(found, "found")
+        # Only texts with candidates go through the shuffle, as long as their number allows.
+        some = texts.join(small_side(found.select("node")), "node", "left_semi").dropDuplicates(["node"])
+        survivors = some.join(found.hint("merge"), "node")
         step = survivors.select("node", "text", "at").mapInArrow(
             lambda b: _from_texts(b, lengths[0], lengths[1], window), _SEGMENT)
         for length, longer in zip(lengths[1:], [*lengths[2:], 0], strict=True):

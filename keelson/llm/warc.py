@@ -193,11 +193,14 @@ def plan_revisits(headers: DataFrame, least_bytes: int = LEAST_SHARED_BYTES) ->
     candidate; the join of records to originals can be split where one digest is hot.
     """
     large = F.col("payload_bytes") >= least_bytes
+    headers = materialize(headers, "headers")
+    # Stored, so that both sides of the join are plain shuffles and a hot digest can be split.
     originals = (headers.filter(large).groupBy("payload_digest", "payload_bytes")
                  .agg(F.max(F.struct("page_id", "record_id", "uri")).alias("o"), F.count("*").alias("n"))
                  .filter("n > 1").select("payload_digest", "payload_bytes", F.col("o.record_id").alias("original_record"),
                                          F.col("o.uri").alias("original_uri")))
-    joined = headers.join(originals, ["payload_digest", "payload_bytes"], "left")
+    originals = materialize(originals, "originals")
+    joined = headers.join(originals.hint("merge"), ["payload_digest", "payload_bytes"], "left")
     own = F.col("original_record") == F.col("record_id")
     return joined.select("record_id", "path", "offset", "length", *(
         F.when(~own, F.col(c)).alias(c) for c in ("original_record", "original_uri")))
@@ -255,10 +258,10 @@ def resolve(headers: DataFrame) -> DataFrame:
     """
     answers = headers.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"))
-    return headers.join(answers, "refers_to_record", "left")
+    return headers.join(answers.hint("merge"), "refers_to_record", "left")
 
 
 def deduplicate(pages: DataFrame, **names: str) -> DataFrame:
     """Pages to archives, archives to deduplicated archives; the headers of the latter."""
     planned = plan_revisits(read_headers(write_pages(pages, **names)))
-    return resolve(read_headers(write_deduplicated(planned)))
+    return resolve(materialize(read_headers(write_deduplicated(planned)), "headers"))
