@@ -6,7 +6,8 @@ alone would cost, needs the ledger only and never the texts.
 
 Defined results: a null or empty text has no words, all measurements are 0, and only
 the rule on too few words fails; repeated rows give repeated ledger rows; an empty table
-gives an empty ledger, and ablations of zeros.
+gives an empty ledger, and ablations of zeros.  A text without a toxicity score does not
+fail the rule on it.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keelson.llm import toxicity
 from keelson.llm.frames import named
 from keelson.llm.wordstream import Piece, lowered, mix, pieces, run_hashes, window_hashes
 
@@ -39,6 +41,8 @@ RULES: tuple[tuple[str, str], ...] = (
     ("exclamations", "100 * n_shouted > 20 * n_words"),
     ("insults", "n_insults >= 2"),
 )
+#: The rule on a measured score, whose bit follows those of ``RULES``; only with a model is it measured.
+TOXIC = ("toxic", f"toxicity >= {toxicity.THRESHOLD}")
 #: Versioned policies: the rules whose failure rejects a document.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": ("few_words", "repeated_words"),
@@ -49,7 +53,7 @@ POLICIES: dict[str, tuple[str, ...]] = {
 
 
 def bit(rule: str) -> int:
-    return 1 << [name for name, _ in RULES].index(rule)
+    return 1 << [name for name, _ in (*RULES, TOXIC)].index(rule)
 
 
 def mask(policy: str) -> int:
@@ -144,38 +148,54 @@ def measure_piece(piece: Piece) -> dict[str, np.ndarray]:
     }
 
 
-def _measure(batches):
-    """Measures the last column; the others go along."""
+def _measure(batches, model: toxicity.Model | None = None):
+    """Measures the last column; the others go along.  With a model the one before it names the language."""
+    kinds = {m: pa.int64() for m in MEASURES} | ({} if model is None else {"toxicity": pa.float64()})
     for batch in batches:
         carried = batch.columns[:-1]
         for piece in pieces(batch.columns[-1]):
             found = measure_piece(piece)
+            if model is not None:
+                langs = carried[-1].slice(piece.row, piece.n_texts).to_pylist()
+                found["toxicity"] = toxicity.scores_of(piece, langs, model)
             yield pa.RecordBatch.from_arrays(
                 [*(c.slice(piece.row, piece.n_texts) for c in carried),
-                 *(pa.array(found[m], pa.int64()) for m in MEASURES)],
-                names=[*batch.schema.names[:-1], *MEASURES])
+                 *(pa.array(found[m], kind, from_pandas=True) for m, kind in kinds.items())],
+                names=[*batch.schema.names[:-1], *kinds])
 
 
-def _ledger(rows: DataFrame) -> DataFrame:
+def _ledger(rows: DataFrame, model: toxicity.Model | None = None) -> DataFrame:
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    measured = rows.mapInArrow(_measure, ", ".join([*kinds, *(f"{m} long" for m in MEASURES)]))
-    bits = [F.when(F.expr(rule), F.lit(1 << k).cast("long")).otherwise(0) for k, (_, rule) in enumerate(RULES)]
+    kinds += [f"{m} long" for m in MEASURES] + ([] if model is None else ["toxicity double"])
+    measured = rows.mapInArrow(lambda batches: _measure(batches, model), ", ".join(kinds))
+    rules = RULES if model is None else (*RULES, TOXIC)
+    bits = [F.when(F.expr(rule), F.lit(1 << k).cast("long")).otherwise(0) for k, (_, rule) in enumerate(rules)]
     failed = bits[0]
     for one in bits[1:]:
         failed = failed.bitwiseOR(one)
     return measured.withColumn("failed", failed)
 
 
-def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, all measurements, and ``failed``: a bit for each rule that fails."""
-    return _ledger(docs.select(*named(key=key, text=text)))
+def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text", model: toxicity.Model | None = None,
+           lang: str = "lang") -> DataFrame:
+    """``key``, all measurements, and ``failed``: a bit for each rule that fails.
+
+    With a model also ``lang`` and ``toxicity``, null where the language has no model.
+    """
+    wanted = {"key": key} | ({} if model is None else {"lang": lang}) | {"text": text}
+    return _ledger(docs.select(*named(**wanted)), model)
 
 
-def passing(docs: DataFrame, policy: str = "full", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, whole, whose text passes a policy; nothing is shuffled."""
+def passing(docs: DataFrame, policy: str = "full", text: str = "text", model: toxicity.Model | None = None,
+            lang: str = "lang") -> DataFrame:
+    """The rows of ``docs``, whole, whose text passes a policy, and with a model is not toxic; nothing is shuffled."""
     inside = {f"carried_{k}": c for k, c in enumerate(docs.columns)}
-    rows = docs.select(*named(**inside), F.col(f"`{text}`").alias("text"))
-    return _ledger(rows).filter(accepted(policy)).select(*(F.col(k).alias(c) for k, c in inside.items()))
+    used = [] if model is None else [F.col(f"`{lang}`").alias("used_lang")]
+    rows = docs.select(*named(**inside), *used, F.col(f"`{text}`").alias("text"))
+    kept = accepted(policy)
+    if model is not None:
+        kept = kept & (F.col("failed").bitwiseAND(F.lit(bit("toxic"))) == 0)
+    return _ledger(rows, model).filter(kept).select(*(F.col(k).alias(c) for k, c in inside.items()))
 
 
 def accepted(policy: str) -> Column:
