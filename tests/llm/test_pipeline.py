@@ -53,3 +53,16 @@ def test_stages(spark, folder):
     tokens = stages["tokens"](spark, clean, folder)
     assert tokens.count() == clean.count()
     assert corpus_pipeline.run(spark, folder).exceptAll(tokens).isEmpty()
+
+
+def test_near_duplicates_by_five_words(spark):
+    from tests.llm import test_jaccard
+    words = [f"w{k}" for k in range(106)]
+    changed = list(words)
+    changed[50] = changed[70] = "new"
+    cut = words[:86]  # 82 of 102 runs of five words, 83 of 103 of four
+    rows = [(1, " ".join(words)), (2, " ".join(cut)), (3, " ".join(changed)), (4, " ".join(words[60:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "").collect()}
+    assert kept == {least for _, _, least in test_jaccard.brute_force(rows, 5, 80)} == {1, 4}
+    assert {least for _, _, least in test_jaccard.brute_force(rows, 4, 85)} == {1, 2, 4}
