@@ -60,3 +60,30 @@ def test_no_python_in_the_plan(spark):
 def test_placeholders(spark, text, words):
     df = spark.createDataFrame([(text,)], "t string").select(templates.words_of(templates.slots_marked(templates.F.col("t"))).alias("w"))
     assert df.first().w == words
+
+
+TRAIN = "A train travels 60 km in 2 hours, 90 km in 3 hours, how far in 5 hours?"
+
+
+def test_number_rich_copies_at_every_offset(spark):
+    texts = ["z " * k + TRAIN + " q" * (5 - k % 5) for k in range(12)]
+    assert {k for k, _ in find(spark, texts, [TRAIN])} == set(range(12))
+
+
+def test_verbatim_copies_of_every_item(spark):
+    items = ["What is 12 times 7?", "3 x 4?", "Alice has 5 apples and eats 2, how many are left?", "Anna Berg, Carl Dorn, Emil Falk, who is 9?"]
+    texts = [f"{before} {i} {after}" for i in items for before in ("z", "we ask", "so Tom asks: z", "He asked Jim") for after in ("", "Yes")]
+    found = find(spark, [*texts, *map(str.upper, items), *map(str.lower, items), "What is 13 times 8?"], items)
+    want = {(k, k // 8) for k in range(32)} | {(32 + k, k % 4) for k in range(8)}
+    assert set(found) == want
+
+
+def test_other_names_wherever_they_stand(spark):
+    pens = "Tom buys 3 pens. Sara buys 5 pens. How many pens do they have in total?"
+    apples = "Alice has 5 apples and eats 2, how many are left?"
+    pairs = [(pens.replace("Tom", "Jim").replace("Sara", "Ann"), 0), (pens.replace("Tom", "TIM").replace("Sara", "Mary Jane O'Brien"), 0),
+             (pens.replace("Tom", "J. Smith").replace("3", "7"), 0), (apples.replace("Alice", "Maria"), 1),
+             ("In 2020 " + apples.replace("Alice", "Anna Berg"), 1), ("we ask " + apples.replace("Alice", "Maria"), 1),
+             ("Suppose " + ITEM.removeprefix("Yesterday morning ").replace("Alice", "Robert"), 2)]
+    found = find(spark, [t for t, _ in pairs], [pens, apples, ITEM.removeprefix("Yesterday morning ")])
+    assert set(found) == {(k, i) for k, (_, i) in enumerate(pairs)}
