@@ -5,7 +5,9 @@ their kind, role or class not article text (menus, adverts, forms, comments, ...
 struck out.  Each remaining paragraph earns points for its length and its commas and
 passes them to its ancestors, in full to the nearest, less to farther ones.  An element
 keeps the share of its points that is not link text.  The best element and those of its
-siblings that score well or read like paragraphs give the text.
+siblings that score well or read like paragraphs give the text, with the headings, lists
+and tables between them; where the best element is not named as an article, every sibling
+that scores and is not mostly links belongs to it.
 
 Defined results: a null or empty page, or one without text, gives an empty text; broken
 markup never fails: open elements end with the page, stray ends are skipped, an open
@@ -49,6 +51,9 @@ _STRUCK_NAMES = frozenset(
 #: Such parts that count only where no part names the article.
 _DOUBTFUL_NAMES = frozenset("header masthead banner notice notices widget form search social toolbar alert disclaimer".split())
 _ARTICLE_NAMES = frozenset("article content entry main post story text body".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Kinds that are kept between chosen siblings.
+_BETWEEN = _HEADINGS | frozenset("ul ol table dl figure".split())
 #: Starting one of these ends an open one of the named kinds, up to the next holder.
 _ENDS_OPEN = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
               "th": ("td", "th"), "option": ("option",)}
@@ -185,12 +190,17 @@ def main_text(source: str | None) -> str:
 
     final = {e: (s + page.weight[e]) * (1 - density(e)) for e, s in score.items() if s > 0}
     best = max(final, key=lambda e: (final[e], -e))
+    # Where no element is named as the article, each sibling with text that scores is part of it.
     chosen, enough = {best}, max(10.0, final[best] / 5)
-    for e in range(1, len(page.tag)):
-        if page.parent[e] == page.parent[best] and e != best and chars[e] and not page.struck[e]:
-            reads = page.tag[e] in ("p", "h1", "blockquote", "pre") and density(e) < 0.25
-            if final.get(e, 0.0) >= enough or reads:
-                chosen.add(e)
+    beside = [e for e in range(1, len(page.tag)) if page.parent[e] == page.parent[best] and chars[e] and not page.struck[e]]
+    for e in beside:
+        reads = page.tag[e] in ("p", "h1", "blockquote", "pre") and density(e) < 0.25
+        if final.get(e, 0.0) >= enough or reads or (not page.weight[best] and score[e] > 0 and density(e) < 0.25):
+            chosen.add(e)
+    # Headings, lists and tables between what was chosen, and a heading before it.
+    ends = [k for k, e in enumerate(beside) if e in chosen]
+    first = ends[0] - 1 if ends and ends[0] and page.tag[beside[ends[0] - 1]] in _HEADINGS else (ends or [0])[0]
+    chosen.update(e for e in beside[first:(ends or [0])[-1]] if page.tag[e] in _BETWEEN and density(e) < 0.5)
 
     def kept(element):
         while element:
@@ -202,18 +212,34 @@ def main_text(source: str | None) -> str:
 
 
 def _without_link_lists(page: Page, blocks):
-    """Leaves out lists of two or more entries that are mostly links."""
-    owner = {}
+    """Leaves out lists of two or more entries that are mostly links.
+
+    Inside an article only those without a heading directly before, whose entries are
+    links and nothing else: reference lists stay.
+    """
+    owner, before, last = {}, {}, None
     for element, text, linked in blocks:
         at = element
         while at and page.tag[at] not in ("ul", "ol"):
             at = page.parent[at]
         if at:
+            before.setdefault(at, last)
             entry = owner.setdefault(at, [0, 0, 0])
             entry[0] += len(text)
             entry[1] += linked
             entry[2] += linked > 0
-    bare = {e for e, (chars, linked, n) in owner.items() if n > 1 and linked > chars / 2}
+        last = element
+
+    def inside(element):
+        while element and page.tag[element] not in ("article", "main"):
+            element = page.parent[element]
+        return element
+
+    def cited(e):
+        chars, linked, _ = owner[e]
+        headed = before[e] is not None and page.tag[before[e]] in _HEADINGS
+        return inside(e) and (headed or linked < 0.9 * chars)
+    bare = {e for e, (chars, linked, n) in owner.items() if n > 1 and linked > chars / 2 and not cited(e)}
     if not bare:
         return blocks
 

@@ -42,3 +42,17 @@ def test_table(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(
         [(1, "u", T, len(T)), (1, "u", T, len(T)), (None, None, "", 0)], key=repr)
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    (f"<body><div>{P * 6}</div><div><p>A second section, with a short paragraph.</p></div>", " ".join([T] * 6) + " A second section, with a short paragraph."),
+    (f"<body><div>{P * 6}</div><h2>Part two</h2><ul><li>One</li><li>Two</li></ul><table><tr><td>Cell</table><div>{P}</div>",
+     " ".join([T] * 6) + f" Part two One Two Cell {T}"),
+    (f"<article>{P}<h2>References</h2><ol><li><a href=1>A linked title</a></li><li><a href=2>Another title</a></li></ol></article>",
+     f"{T} References A linked title Another title"),
+    (f"<article>{P}<ol><li>Doe (2020). <a href=1>A rather long linked title</a>.<li>Roe (2021). <a href=2>Another long linked title</a>.</ol></article>",
+     f"{T} Doe (2020). A rather long linked title. Roe (2021). Another long linked title."),
+    (f"<body><div>{P * 6}</div><div><ul><li><a href=1>A long link, elsewhere, to go to</a><li><a href=2>One more, of the long links</a></ul></div>", " ".join([T] * 6)),
+])
+def test_sections_and_reference_lists(source, text):
+    assert html_text.main_text(source) == text
