@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import bpe, html_text, id_files, jaccard, lm_scores, oracles, quality, sharding, substrings, templates, warc
+from keelson.llm import bpe, html_text, id_files, jaccard, lm_scores, oracles, quality, sharding, substrings, templates, warc, winnow
 from keelson.llm.frames import small_batches
 
 #: Vocabulary files are read where the tokenizers package lies; they are not part of this library.
@@ -104,3 +104,9 @@ def op6_token_id_files(spark, folder):
     """Token ids of all ``documents`` in coded files, as read back."""
     manifest = id_files.write_ids(table(spark, folder, "documents"), WORD_BPE, end=2)
     return id_files.read_ids(manifest).withColumnRenamed("key", "doc_id")
+
+
+@query
+def op12_winnowing_fingerprints(spark, folder):
+    """Fingerprints of all ``documents``, beside those of an edited text and of the next one."""
+    return winnow.edits(table(spark, folder, "documents")).withColumnRenamed("key", "doc_id")
