@@ -98,6 +98,30 @@ reach(doc_id, least) AS (SELECT doc_id, doc_id FROM w UNION SELECT b, least FROM
 SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.least) AS component_id
 FROM w JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY w.doc_id"""
 
+# The checksum of an id's digits, bit by bit.
+_CRC = ("xor(list_reduce(list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, x: "
+        "list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda b, k: xor(b >> 1, (b & 1) * 3988292384), xor(c, x)), "
+        "4294967295), 4294967295)")
+OP13 = f"""
+WITH c AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS ts,
+  {_CRC.format("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.ts[:c.h], []), c.ts[c.h + 1:]) AS ts
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 20),
+p AS (SELECT conv_id, depth, len(ts) = depth AS ends, md5(to_json(ts[:depth])::VARCHAR) AS node,
+  CASE WHEN depth > 0 THEN md5(to_json(ts[:depth - 1])::VARCHAR) END AS up,
+  CASE WHEN depth > 0 THEN len(regexp_extract_all(ts[depth].text, '{_WORD}')) ELSE 0 END AS words
+  FROM (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS depth FROM r)),
+n AS (SELECT depth, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM p GROUP BY 1, 2),
+k AS (SELECT depth - 1 AS depth, up AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+t AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, node)),
+below AS (SELECT p.depth, p.node, sum(CAST(t.n_children = 0 AS BIGINT)) AS n_leaves, sum((t.n_convs - 1) * t.words) AS saved
+  FROM t JOIN p ON p.conv_id = t.conv_id AND p.depth <= t.depth GROUP BY 1, 2)
+SELECT t.conv_id, t.depth, q.conv_id AS parent_conv_id, t.n_convs, t.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, t.ends_sha256
+FROM t JOIN below USING (depth, node) LEFT JOIN t q ON q.depth = t.depth - 1 AND q.node = t.up"""
+
 SQL = {"op1_warc_revisits": OP1, "op2_substring_dedup": OP2, "op3_html_main_text": OP3,
        "op4_stupid_backoff": OP4, "op5_quality_rules": OP5,
-       "op9_jaccard_join": OP9}
+       "op9_jaccard_join": OP9, "op13_conversation_trie": OP13}

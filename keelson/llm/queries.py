@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import bpe, html_text, id_files, jaccard, lm_scores, oracles, quality, sharding, substrings, templates, warc, winnow
+from keelson.llm import (
+    bpe, html_text, id_files, jaccard, lm_scores, oracles, quality, repair, sharding, substrings, templates, trie, warc, winnow)
 from keelson.llm.frames import small_batches
 
 #: Vocabulary files are read where the tokenizers package lies; they are not part of this library.
@@ -110,3 +111,15 @@ def op6_token_id_files(spark, folder):
 def op12_winnowing_fingerprints(spark, folder):
     """Fingerprints of all ``documents``, beside those of an edited text and of the next one."""
     return winnow.edits(table(spark, folder, "documents")).withColumnRenamed("key", "doc_id")
+
+
+@query
+def op11_conversation_repair(spark, folder):
+    """All ``conversations``, damaged by a checksum and repaired at the least cost."""
+    return repair.repaired(repair.damaged(table(spark, folder, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op13_conversation_trie(spark, folder):
+    """Prefix trie of all ``conversations`` with heads taken from every twentieth one."""
+    return trie.prefix_trie(table(spark, folder, "conversations"), trie.stride_base(20), trie.checksum_head(4), 3).drop("fa", "fb")
