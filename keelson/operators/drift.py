@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions import parse
@@ -206,13 +206,21 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     Jensen-Shannon distance, other numbers by normed Wasserstein distance.  A
     column without values on one side was not measured: value and drifted are null.
     """
+    return drift_of_counts(
+        reference.sparkSession, aligned_numbers(reference, current, numeric) if numeric else None,
+        aligned_counts(reference, current, categorical) if categorical else None, numeric, categorical)
+
+
+def drift_of_counts(spark: SparkSession, numbers: DataFrame | None, categories: DataFrame | None,
+                    numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """The drift table of aligned counts ``column, value, n_ref, n_cur`` of both kinds of columns."""
     if not numeric and not categorical:
         raise ValueError("no column to compare")
     pieces, methods = [], {c: "jensen-shannon" for c in categorical}
-    if categorical:
-        pieces.append(js_distance(aligned_counts(reference, current, categorical)))
-    if numeric:
-        counts = materialize(aligned_numbers(reference, current, numeric), "drift")
+    if categories is not None:
+        pieces.append(js_distance(categories))
+    if numbers is not None:
+        counts = materialize(numbers, "drift")
         distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
         # One row per column at most.
         many = {r["column"] for r in distinct.where(F.col("n_distinct") > FEW_DISTINCT).collect()}
@@ -224,7 +232,7 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     table = pieces[0]
     for piece in pieces[1:]:
         table = table.unionByName(piece)
-    listed = _listed(reference.sparkSession, sorted(methods.items()))
+    listed = _listed(spark, sorted(methods.items()))
     return listed.join(table, "column", "left").select(
         "column", "method", F.lit(DISTANCE_THRESHOLD).alias("threshold"), "value",
         (F.col("value") >= DISTANCE_THRESHOLD).alias("drifted"))

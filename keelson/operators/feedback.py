@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from keelson.functions import parse
 from keelson.operators import clean, rows, splits
+from keelson.session import materialize
 from keelson.spec import FEEDBACK, MOMENT_COLUMN, SOURCE_COLUMN, TableSpec
 
 # Smallest feedback set and default period.
@@ -33,6 +34,28 @@ def join_outcomes(predictions: DataFrame, outcomes: DataFrame,
     return predictions.join(reported, "request_id")
 
 
+def reconcile_outcomes(predictions: DataFrame, outcomes: DataFrame, streamed: DataFrame) -> DataFrame:
+    """``join_outcomes`` of the stored logs, from what a stream has joined already.
+
+    A request is complete if the stream holds a row for each of its outcomes.  Requests
+    that lack some, because an outcome came after the stream's bound or a row came too
+    late for it, are joined again, wholly, and those only; the streamed rows of all others
+    are taken as they are.  ``streamed`` may hold unmatched predictions, with a null
+    ``reported_at``.
+    """
+    columns = [*predictions.columns, "actual"]
+    matched = streamed.where("reported_at is not null")
+    counts = predictions.select("request_id", F.lit(1).alias("p"), F.lit(0).alias("o"), F.lit(0).alias("m")) \
+        .unionByName(outcomes.select("request_id", F.lit(0).alias("p"), F.lit(1).alias("o"), F.lit(0).alias("m"))) \
+        .unionByName(matched.select("request_id", F.lit(0).alias("p"), F.lit(0).alias("o"), F.lit(1).alias("m")))
+    lacking = materialize(counts.groupBy("request_id").agg(*[F.sum(c).alias(c) for c in "pom"]).where(
+        "request_id is not null and p * o <> m").select("request_id"), "lacking")
+    again = join_outcomes(predictions.join(lacking, "request_id", "left_semi"),
+                          outcomes.join(lacking, "request_id", "left_semi"))
+    whole = matched.join(lacking, "request_id", "left_anti")
+    return whole.select(columns).unionByName(again.select(columns))
+
+
 def records(matched: DataFrame, spec: TableSpec, task: str, columns: Sequence[str],
             order: Sequence[Column]) -> DataFrame:
     """One raw text row per id from matched predictions, the latest one.

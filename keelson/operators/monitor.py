@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.operators import clean, drift, feedback, metrics, train
+from keelson.operators import clean, daycounts, drift, feedback, metrics, train
 from keelson.operators.profile import side_by_side
 from keelson.session import materialize
 from keelson.spec import TableSpec
@@ -25,6 +25,24 @@ def live_scores(joined: DataFrame, task: str, threshold: float) -> DataFrame:
     return side_by_side(metrics.classification(flat, "t", "a"), metrics.auc(flat, "t", "p"))
 
 
+#: The model's answers among the counted columns.
+PREDICTION = "_prediction"
+
+
+def count_reference(train_set: DataFrame, model: train.TrainedModel, spec: TableSpec) -> DataFrame:
+    """Counts of the train set's cleaned features and of the model's answers to it.
+
+    Train set and model of a version do not change, so neither do these counts:
+    keep them by ``daycounts.stored_once``.
+    """
+    numeric, categorical = spec.encoded_features(model.task)
+    cleaned = clean.clean_table(train_set, spec, numeric_booleans=True)
+    answers = model.score(train_set).select(F.col("prediction").cast("double").alias(PREDICTION))
+    here = [[c for c in group if c in cleaned.columns] for group in (numeric, categorical)]
+    answered = [[PREDICTION], []] if model.task == "regression" else [[], [PREDICTION]]
+    return daycounts.count_values(cleaned, *here).unionByName(daycounts.count_values(answers, *answered))
+
+
 def clean_category(spec: TableSpec):
     def read(name: str, raw: Column) -> Column:
         return clean.read_as(spec[name].kind, raw, T.StringType())
@@ -35,12 +53,15 @@ def summarize(predictions: DataFrame, outcomes: DataFrame, train_set: DataFrame,
               model: train.TrainedModel, spec: TableSpec, *, model_name: str,
               model_version: str, reference_scores: dict[str, float], run_id: str,
               now: datetime, window_hours: float = 24.0, reference_source: str = "train",
-              reference_groups: DataFrame | None = None, previous: DataFrame | None = None) -> DataFrame:
+              reference_groups: DataFrame | None = None, previous: DataFrame | None = None,
+              reference_counts: DataFrame | None = None) -> DataFrame:
     """The summary row of a run, against the whole train set.
 
     ``predictions`` are the window's log rows, stored once, since every part
     reads them.  ``reference_groups`` are group scores of the model's test set,
-    ``previous`` the summary of the run before, from which streaks go on.
+    ``previous`` the summary of the run before, from which streaks go on.  With
+    ``reference_counts`` (see ``count_reference``), stored once for a model
+    version, the train set is neither read nor scored.
     """
     task = model.task
     spark = predictions.sparkSession
@@ -54,32 +75,33 @@ def summarize(predictions: DataFrame, outcomes: DataFrame, train_set: DataFrame,
     grades = groups = None
     if n >= drift.MIN_PREDICTIONS:
         seen = _sent_columns(window, spec, task)
-        current_raw = clean.decode_json(window.select("raw_input"), "raw_input", seen)
-        reference = materialize(clean.clean_table(train_set, spec, numeric_booleans=True), "reference")
-        current = materialize(clean.clean_table(current_raw, spec, numeric_booleans=True), "current")
-        numeric, categorical = (
-            [c for c in group if c in current.columns and c in reference.columns]
-            for group in spec.encoded_features(task)
-        )
-        table = drift.drift_table(reference, current, numeric, categorical)
+        current_raw = clean.decode_json(window.select("raw_input", "prediction"), "raw_input", seen)
+        held = spec.encoded_features(task)
+        reference = reference_counts if reference_counts is not None else materialize(
+            count_reference(train_set, model, spec), "reference")
+        current = clean.clean_table(current_raw, spec, numeric_booleans=True)
+        # One row for each column of the catalog at most.
+        counted = {r["column"] for r in reference.select("column").distinct().collect()}
+        numeric, categorical = ([c for c in group if c in current.columns and c in counted] for group in held)
+        served = [[PREDICTION], []] if task == "regression" else [[], [PREDICTION]]
+        current = current.withColumn(PREDICTION, F.col("prediction").cast("double"))
+        current = materialize(daycounts.count_values(
+            current, [*numeric, *served[0]], [*categorical, *served[1]]), "current")
+        table = daycounts.drift_table(reference, current, numeric, categorical)
         totals = drift.drift_totals(table).withColumn(
             "level", drift.feature_level(
                 F.col("drifted_share"), F.col("margin_sum"), F.col("n_unmeasured"))).first()
         levels["feature"] = totals["level"]
         numbers |= {k: totals[k] for k in ("drifted_share", "margin_sum", "n_unmeasured")}
 
-        answered = model.score(train_set).select(F.col("prediction").cast("double"))
-        served = window.select(F.col("prediction").cast("double"))
-        moved = drift.drift_table(answered, served,
-                                  ["prediction"] if task == "regression" else [],
-                                  [] if task == "regression" else ["prediction"])
+        moved = daycounts.drift_table(reference, current, *served)
         levels["prediction"] = moved.agg(
             drift.prediction_level(F.bool_or("drifted")).alias("level")).first()["level"]
 
-        known = drift.known_categories(train_set, categorical, clean_category(spec))
+        known = daycounts.known_categories(reference, categorical)
         graded = materialize(drift.input_quality(
-            drift.quality_numbers(reference, numeric, categorical, known),
-            drift.quality_numbers(current, numeric, categorical, known)), "quality")
+            daycounts.quality_numbers(reference, numeric, categorical, known),
+            daycounts.quality_numbers(current, numeric, categorical, known)), "quality")
         levels["input_quality"] = drift.quality_level(graded, n).first()["level"]
         # One entry per feature column at most.
         flagged = [r["column"] for r in drift.flagged_columns(graded).collect()]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
+import json
 import math
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,11 +19,11 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.operators import clean, encode, metrics, ranking, splits
+from keelson.operators import clean, encode, gram, metrics, ranking, splits
 from keelson.operators.feedback import overlap
 from keelson.operators.profile import side_by_side
 from keelson.session import materialize
@@ -51,23 +54,22 @@ DEFAULTS = {
 LABEL = "_label"
 
 
-def build_estimator(task: str, name: str, rows: int, settings: dict | None = None,
-                    label_deviation: float = 1.0) -> Estimator:
+def checked_name(task: str, name: str) -> str:
+    """Refuses a name of the other task."""
+    if name not in ESTIMATORS.get(task, ()):
+        raise ValueError(f"{task} offers {ESTIMATORS.get(task, ())}, got {name!r}")
+    return name
+
+
+def build_estimator(task: str, name: str, settings: dict | None = None) -> Estimator:
     """An unfitted MLlib estimator; a name of the other task is refused.
 
-    ``xgboost`` is MLlib's gradient boosted trees, ``svm`` a linear one.  Ridge
-    needs the number of rows and the label's population deviation.
+    ``xgboost`` is MLlib's gradient boosted trees, ``svm`` a linear one.  A ridge is
+    solved from sums of products (see ``gram``) and has no estimator.
     """
-    if name not in ESTIMATORS.get(task, ()):
-        raise ValueError(f"{task} offers {ESTIMATORS.get(task, ())}, got {name!r}")
+    checked_name(task, name)
     chosen = {**DEFAULTS[name], **(settings or {})}
     common = {"featuresCol": "features", "labelCol": LABEL}
-    if name == "ridge":
-        # MLlib averages the squared loss over the rows, and divides the penalty by
-        # the label's deviation before it solves.
-        return LinearRegression(regParam=chosen["alpha"] / rows * label_deviation,
-                                elasticNetParam=0.0,
-                                standardization=False, solver="normal", **common)
     if name == "svm":
         return LinearSVC(rawPredictionCol="margin", predictionCol="side", **chosen, **common)
     kinds = {
@@ -78,18 +80,50 @@ def build_estimator(task: str, name: str, rows: int, settings: dict | None = Non
     return kinds[task, name](seed=SEED, **chosen, **common)
 
 
+class LinearScore(encode._JsonStage):
+    """``prediction`` of a fitted line, as an expression of the feature vector."""
+
+    @classmethod
+    def of(cls, line: gram.Line) -> LinearScore:
+        return cls(json.dumps({"intercept": line.intercept, "weights": line.weights}))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        line = self.settings()
+        terms = F.zip_with(vector_to_array(F.col("features")), F.array(*map(F.lit, line["weights"])).cast("array<double>"),
+                           lambda x, w: x * w)
+        return df.withColumn("prediction", F.aggregate(terms, F.lit(line["intercept"]), lambda a, t: a + t))
+
+
 @dataclass
 class TrainedModel:
-    """A fitted chain that accepts raw rows, and its decision threshold."""
+    """A fitted chain that accepts raw rows, and its decision threshold.
+
+    The first ``encoders`` stages of the chain make the feature vector.
+    """
 
     task: str
     chain: PipelineModel
     threshold: float | None = None
     settings: dict | None = None
+    encoders: int = 0
 
     def score(self, raw: DataFrame) -> DataFrame:
         """Adds ``prediction``, and for classification ``probability`` and ``answer``."""
-        scored = self.chain.transform(raw)
+        return self._answers(raw, self.chain.transform(raw))
+
+    def score_vectors(self, vectors: DataFrame) -> DataFrame:
+        """The same for rows that already have their feature vector."""
+        return self._answers(vectors, PipelineModel(self.chain.stages[self.encoders:]).transform(vectors))
+
+    def encode(self, raw: DataFrame) -> DataFrame:
+        return PipelineModel(self.chain.stages[:self.encoders]).transform(raw)
+
+    def encodes_like(self, other: TrainedModel) -> bool:
+        """Whether both make their feature vectors by the same fitted stages."""
+        mine, theirs = (m.chain.stages[:m.encoders] for m in (self, other))
+        return bool(mine) and len(mine) == len(theirs) and all(a is b for a, b in zip(mine, theirs, strict=True))
+
+    def _answers(self, raw: DataFrame, scored: DataFrame) -> DataFrame:
         if self.task == "regression":
             return scored.select(*raw.columns, "prediction")
         probability = vector_to_array(F.col("probability"))[1]
@@ -124,13 +158,11 @@ def _encode(labelled: DataFrame, spec: TableSpec, task: str) -> tuple[list, Data
     return [raw_step, *stages], vectors
 
 
-def _fit_tail(vectors: DataFrame, task: str, name: str, rows: int,
-              settings: dict | None) -> list:
+def _fit_tail(vectors: DataFrame, task: str, name: str, settings: dict | None) -> list:
     """The fitted stages after the encoder; an SVM gets a logistic curve on its margin."""
-    deviation = 1.0
-    if name == "ridge":
-        deviation = vectors.agg(F.stddev_pop(LABEL)).first()[0] or 1.0
-    model = build_estimator(task, name, rows, settings, deviation).fit(vectors)
+    if checked_name(task, name) == "ridge":
+        return [_ridge(gram.grams(vectors, LABEL), settings)]
+    model = build_estimator(task, name, settings).fit(vectors)
     if name != "svm":
         return [model]
     up = _MarginUp("{}")
@@ -141,6 +173,13 @@ def _fit_tail(vectors: DataFrame, task: str, name: str, rows: int,
     return [model, up, spread, sigmoid]
 
 
+def _ridge(blocks: dict[int, gram.Gram], settings: dict | None) -> LinearScore:
+    if not blocks:
+        raise ValueError("no rows to learn from")
+    whole = functools.reduce(operator.add, blocks.values())
+    return LinearScore.of(whole.ridge({**DEFAULTS["ridge"], **(settings or {})}["alpha"]))
+
+
 class _MarginUp(encode._JsonStage):
     """Takes the positive-side margin out of a two-entry vector."""
 
@@ -185,8 +224,11 @@ def tune(vectors: DataFrame, task: str, name: str, rows: int, undated: int,
     """The grid entry with the best mean score over forward-chaining folds.
 
     ``vectors`` has a ``position`` (see ``splits.training_order``): fold i learns
-    from all rows before its block.
+    from all rows before its block.  A ridge needs one pass for all folds and
+    penalties (see ``tune_ridge``), other models a fit for each.
     """
+    if name == "ridge":
+        return tune_ridge(vectors, rows, undated, folds, grid)[0]
     grid = grid or GRIDS[name]
     bounds = splits.fold_bounds(rows, undated, folds)
     best, best_score = {}, math.inf
@@ -196,49 +238,92 @@ def tune(vectors: DataFrame, task: str, name: str, rows: int, undated: int,
         for start, end in bounds:
             learn = vectors.where(F.col("position") < start)
             block = vectors.where((F.col("position") >= start) & (F.col("position") < end))
-            tail = _fit_tail(learn, task, name, start, settings)
+            tail = _fit_tail(learn, task, name, settings)
             total += _score_fold(TrainedModel(task, PipelineModel(tail)), block)
         if total / folds < best_score:
             best, best_score = settings, total / folds
     return best
 
 
-def fit(train: DataFrame, spec: TableSpec, task: str, name: str = DEFAULT_ESTIMATOR, *,
-        ties: Sequence[Column], settings: dict | None = None, tuned: bool = False,
-        grid: dict | None = None, folds: int = FOLDS) -> TrainedModel:
-    """Fits a model on raw train rows.
+def tune_ridge(vectors: DataFrame, rows: int, undated: int, folds: int = FOLDS,
+               grid: dict | None = None) -> tuple[dict, dict[int, gram.Gram], list[gram.Trial]]:
+    """The best penalty, the sums of all blocks it was found from, and every trial."""
+    alphas = (grid or GRIDS["ridge"])["alpha"]
+    bounds = splits.fold_bounds(rows, undated, folds)
+    blocks = gram.grams(vectors, LABEL, gram.block_of(F.col("position"), bounds))
+    found = gram.trials(blocks, alphas)
+    return {"alpha": gram.best_alpha(found, alphas)}, blocks, found
+
+
+@dataclass
+class Prepared:
+    """Train rows as stored feature vectors, with the stages that made them; several models may be fitted on them."""
+
+    task: str
+    stages: list
+    vectors: DataFrame
+    rows: int
+    undated: int
+    ordered: bool
 
-    Rows are put in time order when something depends on it: tuning folds, or
-    the classifier's threshold, which is read off the latest 20% as scored by a
-    model of the earliest 80%.  The encoder and the final model learn from every
-    row.
+
+def prepare(train: DataFrame, spec: TableSpec, task: str, *, ties: Sequence[Column],
+            ordered: bool | None = None) -> Prepared:
+    """Cleans and encodes raw train rows once.
+
+    Rows are put in time order when something depends on it: tuning folds
+    (``ordered``), or a classifier's threshold.  The encoder learns from every row.
     """
-    build_estimator(task, name, 1, settings)
     labelled = train.withColumn(LABEL, label_column(train, spec, task)).where(
         F.col(LABEL).isNotNull())
-    ordered = task == "classification" or tuned
+    ordered = task == "classification" if ordered is None else ordered
     stages, vectors = _encode(
         splits.training_order(labelled, spec, ties) if ordered else labelled, spec, task)
-    if not ordered:
-        tail = _fit_tail(vectors, task, name, vectors.count(), settings)
-        return TrainedModel(task, PipelineModel([*stages, *tail]), None, settings)
-    size = vectors.agg(F.count(F.lit(1)).alias("rows"),
-                       F.count_if(F.col("_moment").isNull()).alias("undated")).first()
-    rows = size["rows"]
+    moments = F.count_if(F.col("_moment").isNull()) if ordered else F.lit(0).cast("long")
+    size = vectors.agg(F.count(F.lit(1)).alias("rows"), moments.alias("undated")).first()
+    return Prepared(task, stages, vectors, size["rows"], size["undated"], ordered)
+
+
+def fit(train: DataFrame, spec: TableSpec, task: str, name: str = DEFAULT_ESTIMATOR, *,
+        ties: Sequence[Column], settings: dict | None = None, tuned: bool = False,
+        grid: dict | None = None, folds: int = FOLDS) -> TrainedModel:
+    """Fits a model on raw train rows; see ``fit_prepared``."""
+    checked_name(task, name)
+    prepared = prepare(train, spec, task, ties=ties, ordered=task == "classification" or tuned)
+    return fit_prepared(prepared, name, settings=settings, tuned=tuned, grid=grid, folds=folds)
+
+
+def fit_prepared(prepared: Prepared, name: str = DEFAULT_ESTIMATOR, *, settings: dict | None = None,
+                 tuned: bool = False, grid: dict | None = None, folds: int = FOLDS) -> TrainedModel:
+    """Fits a model on prepared rows.
+
+    A classifier's threshold is read off the latest 20% as scored by a model of
+    the earliest 80%.  The final model learns from every row.
+    """
+    task, vectors, rows = prepared.task, prepared.vectors, prepared.rows
+    checked_name(task, name)
+    if not prepared.ordered and (tuned or task == "classification"):
+        raise ValueError("rows must be prepared in time order for this")
+
+    def model(tail: list, threshold: float | None = None) -> TrainedModel:
+        return TrainedModel(task, PipelineModel([*prepared.stages, *tail]), threshold, settings, len(prepared.stages))
+
+    if tuned and name == "ridge":
+        settings, blocks, _ = tune_ridge(vectors, rows, prepared.undated, folds, grid)
+        return model([_ridge(blocks, settings)])
     if tuned:
-        settings = tune(vectors, task, name, rows, size["undated"], folds, grid)
-    chain = PipelineModel([*stages, *_fit_tail(vectors, task, name, rows, settings)])
+        settings = tune(vectors, task, name, rows, prepared.undated, folds, grid)
+    tail = _fit_tail(vectors, task, name, settings)
     if task == "regression":
-        return TrainedModel(task, chain, None, settings)
+        return model(tail)
     cut = int(rows * (1 - HOLDOUT_SHARE))
     early = vectors.where(F.col("position") < cut)
     late = vectors.where(F.col("position") >= cut)
     both = early.select(LABEL).distinct().count() == 2
     if not both or late.where(F.col(LABEL) == 1).isEmpty():
-        return TrainedModel(task, chain, 0.5, settings)
-    trial = TrainedModel(task, PipelineModel(_fit_tail(early, task, name, cut, settings)), 0.5)
-    threshold = choose_threshold(trial.score(late), F.col(LABEL) == 1, F.col("probability"))
-    return TrainedModel(task, chain, threshold, settings)
+        return model(tail, 0.5)
+    trial = TrainedModel(task, PipelineModel(_fit_tail(early, task, name, settings)), 0.5)
+    return model(tail, choose_threshold(trial.score(late), F.col(LABEL) == 1, F.col("probability")))
 
 
 def save(model: TrainedModel, path: str) -> None:
@@ -263,14 +348,17 @@ def scores(scored: DataFrame, task: str, truth: str = LABEL) -> DataFrame:
 
 def train_job(train: DataFrame, spec: TableSpec, task: str, name: str, run_id: str, data_id: str,
               dataset_version: str, *, ties: Sequence[Column], settings: dict | None = None,
-              tuned: bool = False, grid: dict | None = None,
-              folds: int = FOLDS) -> tuple[TrainedModel, DataFrame]:
-    """Fits a model and returns it with its row for the runs table."""
-    model = fit(train, spec, task, name, ties=ties, settings=settings, tuned=tuned, grid=grid,
-                folds=folds)
-    labelled = train.withColumn(LABEL, label_column(train, spec, task)).where(
-        F.col(LABEL).isNotNull())
-    measured = scores(model.score(labelled), task)
+              tuned: bool = False, grid: dict | None = None, folds: int = FOLDS,
+              prepared: Prepared | None = None) -> tuple[TrainedModel, DataFrame]:
+    """Fits a model and returns it with its row for the runs table.
+
+    Raw rows are cleaned and encoded once, for the fit and for the train scores, or
+    not at all if they come ``prepared``.
+    """
+    checked_name(task, name)
+    prepared = prepared or prepare(train, spec, task, ties=ties, ordered=task == "classification" or tuned)
+    model = fit_prepared(prepared, name, settings=settings, tuned=tuned, grid=grid, folds=folds)
+    measured = scores(model.score_vectors(prepared.vectors), task)
     run = measured.select(
         F.lit(run_id).alias("run_id"), F.lit(task).alias("task_type"),
         F.lit(name).alias("estimator"), F.lit(data_id).alias("data_id"),
@@ -289,17 +377,23 @@ def evaluate_job(test: DataFrame, spec: TableSpec, task: str, candidate: Trained
                  min_rows: int = metrics.EVALUATION_GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
     """Scores candidate and champion on the same rows; (verdict row, group scores).
 
-    The candidate's scored rows are stored once, so verdict and groups read the
-    same predictions.
+    The rows' feature vectors are stored once, so verdict, groups and a champion
+    with the same encoder read the same ones.
     """
     labelled = test.withColumn(LABEL, label_column(test, spec, task)).where(
         F.col(LABEL).isNotNull())
-    mine = materialize(candidate.score(labelled), "scored")
+    shared = champion is not None and champion.encodes_like(candidate)
+    if candidate.encoders:
+        needed = [c for c in dict.fromkeys([LABEL, *spec.group_columns]) if c in labelled.columns]
+        vectors = materialize(candidate.encode(labelled).select(*needed, "features"), "vectors")
+        mine = candidate.score_vectors(vectors).drop("features")
+    else:
+        mine = materialize(candidate.score(labelled), "scored")
     own = scores(mine, task)
     parts = [own.select(*[F.col(c).alias(f"candidate_{c}") for c in own.columns]),
              overlap(test, champion_train, spec.id_column)]
     if champion is not None:
-        rival = scores(champion.score(labelled), task)
+        rival = scores(champion.score_vectors(vectors) if shared else champion.score(labelled), task)
         parts.append(rival.select(*[F.col(c).alias(f"champion_{c}") for c in rival.columns]))
     row = side_by_side(*parts)
     for c in own.columns:

@@ -84,11 +84,11 @@ def encoded_features(spark, folder):
 
 
 def _sets(spark, folder, task):
-    """Train and test rows of the house table, stored once."""
+    """Train and test rows of the house table, as the plan has stored them."""
     raw = materialize(S.raw_houses(spark, folder), "houses")
     plan = rows.plan_rows(raw, S.SPEC, task, house_rules(spark, folder), None, 42,
                           ["row_key"])
-    return materialize(plan.train, "train"), materialize(plan.test, "test")
+    return plan.train, plan.test
 
 
 @query("M6 M9 M11 M12 M13 J5 J8")
@@ -96,10 +96,10 @@ def ridge_training_run(spark, folder):
     """Verdict of a ridge candidate against a more regularized champion."""
     learn, test = _sets(spark, folder, "regression")
     ties = [F.col("row_key")]
+    prepared = train.prepare(learn, S.SPEC, "regression", ties=ties)
     candidate, run = train.train_job(learn, S.SPEC, "regression", "ridge", "run-1", "data-1", "v1",
-                                     ties=ties)
-    champion = train.fit(learn, S.SPEC, "regression", "ridge", ties=ties,
-                         settings={"alpha": 1e6})
+                                     ties=ties, prepared=prepared)
+    champion = train.fit_prepared(prepared, "ridge", settings={"alpha": 1e6})
     verdict, _ = train.evaluate_job(test, S.SPEC, "regression", candidate, champion, learn)
     return verdict.withColumn("train_r2", F.lit(run.first()["train_r2"]))
 

@@ -27,7 +27,7 @@ class Query:
 
 QUERIES: dict[str, Query] = {}
 MODULES = ("cleaning", "splitting", "profiling", "scoring", "served", "drifting", "encoding",
-           "rates", "storage")
+           "rates", "storage", "learning", "counted", "live")
 
 
 def query(covers: str, sql: str | None = None):

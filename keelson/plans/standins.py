@@ -166,11 +166,15 @@ def _build(df: DataFrame, rules: dict[str, str], columns: list[str] | None = Non
 def raw_houses(spark: SparkSession, folder: str, columns: list[str] | None = None, *,
                file_order: bool = False) -> DataFrame:
     """A dirty all-text house table, one row per order line, ids repeated."""
-    lines = table(spark, folder, "lineitem")
-    lines = lines if file_order else spread(lines)
+    lines = raw_lines(spark, folder, file_order=file_order)
     return _build(_build(lines, _BASE), HOUSE_RULES, columns)
 
 
+def raw_lines(spark: SparkSession, folder: str, *, file_order: bool = False) -> DataFrame:
+    lines = table(spark, folder, "lineitem")
+    return lines if file_order else spread(lines)
+
+
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     return _build(spread(table(spark, folder, "events")), LOG_RULES)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.sources.tables import exists
+from keelson.sources.tables import path_exists
 
 WINDOW_HOURS = 24.0
 
@@ -49,7 +49,7 @@ def write_outcomes(df: DataFrame, path: str) -> None:
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if not exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
