@@ -2,16 +2,19 @@
 
 A word after the words ``h`` scores ``c(h w) / c(h)`` if ``h w`` was counted, else
 ``BACKOFF`` times its score after a history shorter by one word; alone it scores
-``c(w) / N``.  N-grams of two words and more count from ``CUTOFF`` occurrences on, so that
-a document does not vouch for its own rare phrases.  A document's score is the sum of the
-logarithms over its words.  Words lose the case of A-Z; n-grams stay inside a document.
+``c(w) / N``.  All n-grams count; a caller may ask that those of two words and more count
+from ``cutoff`` occurrences on only, so that a document does not vouch for its own rare
+phrases.  A document's score is the sum of the logarithms over its words.  Words lose the
+case of A-Z; n-grams stay inside a document.
 
 Relations carry arrays rather than single n-grams: a block of documents sends each of its
 distinct n-grams once, with its count, to the part of the count table that the hash
 belongs to.  A part adds up what it got, which is its share of the table, and joins the
 totals to the blocks that asked.  Parts are uniform whatever the data, since a block
 sends an n-gram once however often it occurs, and their number grows with the words.
-Longer n-grams are only asked for where both their halves were counted.
+Of n-grams of three words and more only those are asked for whose two parts, all words but
+the last and all but the first, occur twice or more: any other occurs once, as its rarer
+part does.  That is most of them, and their counts need no shuffle.
 
 Defined results: null and empty texts have no words and a score of 0 with a null mean;
 repeated rows all count; null keys are carried; an empty table gives no rows.  N-grams are
@@ -32,7 +35,7 @@ from keelson.llm.wordstream import join_hashes, pieces
 from keelson.session import materialize
 
 BACKOFF = 0.4
-CUTOFF = 2
+CUTOFF = 1
 #: Text in a block, and n-grams in a part of the table for which parts are made.
 BLOCK_BYTES = 3 << 20
 PART_NGRAMS = 1_000_000
@@ -67,22 +70,23 @@ class Block:
             self.gram[self.asked], return_inverse=True, return_counts=True)
         return self.distinct, counts
 
-    def answer(self, totals: np.ndarray) -> None:
-        """Totals of the n-grams asked for; those not counted have 0."""
+    def answer(self, totals: np.ndarray, cutoff: int) -> None:
+        """Totals of the n-grams asked for; others occur once.  Those that do not count have 0."""
         if not hasattr(self, "of"):
             self.ask()
-        self.counts = np.zeros(len(self.words), np.uint32)
+        self.counts = ((self.place >= self.order - 1) & (cutoff <= 1)).astype(np.uint32)
         self.counts[self.asked] = totals[self.of]
         self.alive = self.counts > 0
         del self.of
 
     def lengthen(self) -> None:
-        """Goes on to n-grams longer by a word, where both halves were counted."""
-        before = np.zeros(len(self.alive), bool)
-        before[1:] = self.alive[:-1]
+        """Goes on to n-grams longer by a word; both parts of one that is asked for occur twice, if they are known."""
+        wanted = self.place >= self.order
+        if self.order > 1:
+            wanted[1:] &= (self.counts[:-1] > 1) & (self.counts[1:] > 1)
         gram = np.zeros_like(self.gram)
         gram[1:] = join_hashes(self.gram[:-1], self.words[1:])
-        self.asked = np.flatnonzero((self.place >= self.order) & before & self.alive).astype(np.int32)
+        self.asked = np.flatnonzero(wanted).astype(np.int32)
         self.gram, self.order = gram, self.order + 1
 
 
@@ -131,24 +135,24 @@ def _totals(batch: pa.RecordBatch, row: int) -> dict[int, np.ndarray]:
     return {order: np.concatenate(parts) for order, parts in found.items()}
 
 
-def _replay(block: Block, totals: dict[int, np.ndarray], upto: int):
+def _replay(block: Block, totals: dict[int, np.ndarray], upto: int, cutoff: int):
     """Brings a block to n-grams of ``upto`` words; yields at each answered order."""
     while block.order < upto:
-        block.answer(totals.get(block.order, np.empty(0, np.uint32)))
+        block.answer(totals.get(block.order, np.empty(0, np.uint32)), cutoff)
         yield block
         block.lengthen()
 
 
-def _requests(batches, orders, parts):
+def _requests(batches, orders, parts, cutoff):
     for batch in batches:
         for row in range(batch.num_rows):
-            yield _requests_of(batch, row, orders, parts)
+            yield _requests_of(batch, row, orders, parts, cutoff)
 
 
-def _requests_of(batch, row, orders, parts) -> pa.RecordBatch:
+def _requests_of(batch, row, orders, parts, cutoff) -> pa.RecordBatch:
     block, name = _open(batch, row), batch.column("block")[row].as_py()
     if "answers" in batch.schema.names:
-        for _ in _replay(block, _totals(batch, row), orders[0]):
+        for _ in _replay(block, _totals(batch, row), orders[0], cutoff):
             pass
     out = []
     for order in orders:
@@ -181,15 +185,15 @@ def _add_up(table: pa.Table, cutoff: int) -> pa.Table:
                      "counts": pa.array(answers, pa.binary())})
 
 
-def _score(batches, order, total, backoff):
+def _score(batches, order, total, backoff, cutoff):
     for batch in batches:
         for row in range(batch.num_rows):
-            yield _scores_of(batch, row, order, total, backoff)
+            yield _scores_of(batch, row, order, total, backoff, cutoff)
 
 
-def _scores_of(batch, row, order, total, backoff) -> pa.RecordBatch:
+def _scores_of(batch, row, order, total, backoff, cutoff) -> pa.RecordBatch:
     score, context = None, None
-    for level in _replay(_open(batch, row), _totals(batch, row), order + 1):
+    for level in _replay(_open(batch, row), _totals(batch, row), order + 1, cutoff):
         with np.errstate(divide="ignore", invalid="ignore"):
             if level.order == 1:
                 score = np.log(level.counts) - np.log(total)
@@ -228,10 +232,10 @@ def scores(docs: DataFrame, order: int = 3, key: str = "doc_id", text: str = "te
 
     first = list(range(1, min(order, 2) + 1))
     columns = ["block", "lengths", "vocabulary", "codes"]
-    answers = answers_to(blocks.select(*columns).mapInArrow(lambda b: _requests(b, first, parts), asked), "answers")
+    answers = answers_to(blocks.select(*columns).mapInArrow(lambda b: _requests(b, first, parts, cutoff), asked), "answers")
     for longer in range(3, order + 1):
         more = with_answers().select(*columns, "answers").mapInArrow(
-            lambda b, longer=longer: _requests(b, [longer], parts), asked)
+            lambda b, longer=longer: _requests(b, [longer], parts, cutoff), asked)
         answers = answers.unionByName(answers_to(more, "answers"))
     return with_answers().select(*columns, "keys", "answers").mapInArrow(
-        lambda b: _score(b, order, total, backoff), f"key {kind}, n_words long, log_score double, mean_log_score double")
+        lambda b: _score(b, order, total, backoff, cutoff), f"key {kind}, n_words long, log_score double, mean_log_score double")

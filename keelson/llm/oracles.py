@@ -49,8 +49,8 @@ t AS (SELECT doc_id, k, w AS w3, lag(w) OVER d AS w2, lag(w, 2) OVER d AS w1
 c1 AS (SELECT w3, count(*) AS n FROM t GROUP BY 1),
 c2 AS (SELECT w2, w3, count(*) AS n FROM t WHERE w2 IS NOT NULL GROUP BY 1, 2),
 c3 AS (SELECT w1, w2, w3, count(*) AS n FROM t WHERE w1 IS NOT NULL GROUP BY 1, 2, 3),
-s AS (SELECT t.doc_id, CASE WHEN c3.n >= 2 THEN ln(c3.n / h2.n)
-    WHEN c2.n >= 2 THEN CASE WHEN k >= 3 THEN ln(0.4E0) ELSE 0 END + ln(c2.n / h1.n)
+s AS (SELECT t.doc_id, CASE WHEN c3.n >= 1 THEN ln(c3.n / h2.n)
+    WHEN c2.n >= 1 THEN CASE WHEN k >= 3 THEN ln(0.4E0) ELSE 0 END + ln(c2.n / h1.n)
     ELSE CASE WHEN k >= 3 THEN 2 WHEN k = 2 THEN 1 ELSE 0 END * ln(0.4E0) + ln(c1.n / (SELECT count(*) FROM t)) END AS s
   FROM t JOIN c1 ON t.w3 = c1.w3
   LEFT JOIN c2 ON t.w2 = c2.w2 AND t.w3 = c2.w3

@@ -12,7 +12,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def brute_force(rows, order):
+def brute_force(rows, order, cutoff=1):
     texts = [WORD.findall((t or "").translate(LOWER)) for _, t in rows]
     counts = [None] + [Counter(tuple(w[k:k + n]) for w in texts for k in range(len(w) - n + 1)) for n in range(1, order + 1)]
     total = sum(counts[1].values())
@@ -23,18 +23,21 @@ def brute_force(rows, order):
         if k < n - 1:
             return score(w, k, n - 1)
         gram = tuple(w[k - n + 1:k + 1])
-        if counts[n][gram] >= 2:
+        if counts[n][gram] >= cutoff:
             return math.log(counts[n][gram] / counts[n - 1][gram[:-1]])
         return math.log(0.4) + score(w, k, n - 1)
     return [(key, len(w), sum(score(w, k, order) for k in range(len(w)))) for (key, _), w in zip(rows, texts, strict=True)]
 
 
-@pytest.mark.parametrize(("order", "ngrams"), [(3, 2_000_000), (3, 500), (1, 500), (2, 500), (4, 3000)])
-def test_equals_brute_force(rows_of, prose, order, ngrams, monkeypatch):
+@pytest.mark.parametrize(("order", "ngrams", "cutoff"), [
+    (3, 2_000_000, 1), (3, 500, 1), (1, 500, 1), (2, 500, 1), (4, 3000, 1), (3, 3000, 2), (4, 3000, 3)])
+def test_equals_brute_force(rows_of, prose, order, ngrams, cutoff, monkeypatch):
+    """Two texts of 30,000 words are among the rows."""
     monkeypatch.setattr(lm_scores, "PART_NGRAMS", ngrams)
-    rows = [r for r in prose if r[0] not in (401, 402)]
-    found = sorted(((r["key"], r["n_words"], r["log_score"]) for r in lm_scores.scores(rows_of(rows), order).collect()), key=repr)
-    want = sorted(brute_force(rows, order), key=repr)
+    rows = prose
+    found = sorted(((r["key"], r["n_words"], r["log_score"])
+                    for r in lm_scores.scores(rows_of(rows), order, cutoff=cutoff).collect()), key=repr)
+    want = sorted(brute_force(rows, order, cutoff), key=repr)
     assert [f[:2] for f in found] == [w[:2] for w in want]
     by_key = lambda rows: sorted((str(k), round(s, 6)) for k, _, s in rows)
     assert by_key(found) == by_key(want)
