@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keelson.llm.quality import INSULTS, RULES, mask
+from keelson.llm.quality import INSULTS, RULES, bit, mask, rules_of
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,7 +81,8 @@ m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
   CAST(len(list_filter(ws, lambda x: translate(regexp_replace(x, '^[^{_SOLID}]+|[^{_SOLID}]+$', '', 'g'),
     '{_UPPER}', '{_LOWER}') IN ({", ".join(f"'{x}'" for x in INSULTS)}))) AS BIGINT) AS n_insults
   FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id))
-SELECT *, (failed & {mask("base")}) <> 0 AS base_failed, (failed & {mask("full")}) = 0 AS kept
+SELECT *, (failed & {mask("base")}) <> 0 AS base_failed, (failed & {mask("full")}) = 0 AS kept,
+  CASE failed & {mask("full")} {" ".join(f"WHEN {bit(r)} THEN '{r}'" for r in rules_of("full"))} END AS sole_failure
 FROM (SELECT *, CAST({_FAILED} AS BIGINT) AS failed FROM m)"""
 
 OP9 = f"""

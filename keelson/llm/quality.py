@@ -43,12 +43,17 @@ RULES: tuple[tuple[str, str], ...] = (
 )
 #: The rule on a measured score, whose bit follows those of ``RULES``; only with a model is it measured.
 TOXIC = ("toxic", f"toxicity >= {toxicity.THRESHOLD}")
-#: Versioned policies: the rules whose failure rejects a document.
-POLICIES: dict[str, tuple[str, ...]] = {
-    "base": ("few_words", "repeated_words"),
-    "form": ("few_words", "repeated_words", "symbols", "repeated_lines", "short_words", "long_words",
-             "few_letters", "capitals", "exclamations"),
-    "full": tuple(name for name, _ in RULES),
+_FORM = ("few_words", "repeated_words", "symbols", "repeated_lines", "short_words", "long_words",
+         "few_letters", "capitals", "exclamations")
+#: Name and version of each policy: the rules whose failure rejects a document.  Versions
+#: stay as they are, so that a stored ledger can be judged again as it was; a bare name
+#: means the latest.  From its second version on, ``full`` leaves abuse to a fitted model
+#: and no longer rejects by a list of words.
+POLICIES: dict[tuple[str, int], tuple[str, ...]] = {
+    ("base", 1): ("few_words", "repeated_words"),
+    ("form", 1): _FORM,
+    ("full", 1): (*_FORM, "insults"),
+    ("full", 2): _FORM,
 }
 
 
@@ -56,8 +61,17 @@ def bit(rule: str) -> int:
     return 1 << [name for name, _ in (*RULES, TOXIC)].index(rule)
 
 
+def rules_of(policy: str) -> tuple[str, ...]:
+    """The rules of a policy, ``name`` or ``name@version``."""
+    name, _, version = policy.partition("@")
+    versions = [v for n, v in POLICIES if n == name]
+    if not versions or (version and int(version) not in versions):
+        raise ValueError(f"no policy {policy!r}; there are {', '.join(f'{n}@{v}' for n, v in POLICIES)}")
+    return POLICIES[name, int(version) if version else max(versions)]
+
+
 def mask(policy: str) -> int:
-    return sum(map(bit, POLICIES[policy]))
+    return sum(map(bit, rules_of(policy)))
 
 
 def _table(*codes) -> np.ndarray:
@@ -203,15 +217,23 @@ def accepted(policy: str) -> Column:
     return F.col("failed").bitwiseAND(F.lit(mask(policy))) == 0
 
 
+def sole_failure(policy: str) -> Column:
+    """The rule that alone rejects a ledger row: without it, the policy would accept the row."""
+    own, out = F.col("failed").bitwiseAND(F.lit(mask(policy))), F.lit(None).cast("string")
+    for rule in rules_of(policy):
+        out = F.when(own == bit(rule), rule).otherwise(out)
+    return out
+
+
 def ablations(rows: DataFrame, policy: str) -> DataFrame:
     """For each rule of a policy: documents that fail it, and those that only it rejects.
 
     One aggregate over the ledger; without the rule, ``only_here`` more documents stay.
     """
     own = F.col("failed").bitwiseAND(F.lit(mask(policy)))
-    sums = [F.sum((own.bitwiseAND(F.lit(bit(r))) != 0).cast("long")).alias(f"{r}_all") for r in POLICIES[policy]]
-    sums += [F.sum((own == bit(r)).cast("long")).alias(f"{r}_only") for r in POLICIES[policy]]
+    sums = [F.sum((own.bitwiseAND(F.lit(bit(r))) != 0).cast("long")).alias(f"{r}_all") for r in rules_of(policy)]
+    sums += [F.sum((own == bit(r)).cast("long")).alias(f"{r}_only") for r in rules_of(policy)]
     return rows.agg(*sums).select(F.explode(F.array(*(
         F.struct(F.lit(r).alias("rule"), F.coalesce(F.col(f"{r}_all"), F.lit(0)).alias("failing"),
-                 F.coalesce(F.col(f"{r}_only"), F.lit(0)).alias("only_here")) for r in POLICIES[policy]))).alias("x")
+                 F.coalesce(F.col(f"{r}_only"), F.lit(0)).alias("only_here")) for r in rules_of(policy)))).alias("x")
     ).select("x.*")

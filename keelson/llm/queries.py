@@ -55,7 +55,7 @@ def op5_quality_rules(spark, folder):
     return rows.select(
         F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~quality.accepted("base")).alias("base_failed"), quality.accepted("full").alias("kept"), "failed",
-        "n_lines", "n_letters", "n_upper", "n_shouted", "n_insults")
+        "n_lines", "n_letters", "n_upper", "n_shouted", "n_insults", quality.sole_failure("full").alias("sole_failure"))
 
 
 @query

@@ -35,7 +35,7 @@ def test_stages(spark, folder):
 
     one = stages["near_duplicates"](spark, passed, folder)
     assert one.columns == columns
-    want = {least for _, _, least in test_jaccard.brute_force(rows, 4, 85)}
+    want = {least for _, _, least in test_jaccard.brute_force(rows, 5, 80)}
     kept = sorted(r.doc_id for r in one.filter("doc_id is not null").collect())
     assert kept == sorted(want)
 

@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from keelson.llm import quality
@@ -30,9 +31,15 @@ def test_policies_and_ablations(rows_of):
     rows = [(1, plain), (2, plain.upper()), (3, " ".join(f"{w}###" for w in plain.split())), (4, "too short"), (5, None),
             (6, plain + " you stupid idiot"), (7, " ".join(f"{w}!" for w in plain.upper().split()))]
     ledger = quality.ledger(rows_of(rows)).cache()
-    kept = {p: {r.key for r in ledger.filter(quality.accepted(p)).collect()} for p in quality.POLICIES}
-    assert kept == {"base": {1, 2, 3, 6, 7}, "form": {1, 6}, "full": {1}}
-    found = {r.rule: (r.failing, r.only_here) for r in quality.ablations(ledger, "full").collect()}
+    kept = {f"{n}@{v}": {r.key for r in ledger.filter(quality.accepted(f"{n}@{v}")).collect()} for n, v in quality.POLICIES}
+    assert kept == {"base@1": {1, 2, 3, 6, 7}, "form@1": {1, 6}, "full@1": {1}, "full@2": {1, 6}}
+    assert quality.mask("full") == quality.mask("full@2")
+    with pytest.raises(ValueError, match="no policy"):
+        quality.mask("full@3")
+    sole = {r.key: r.sole for r in ledger.select("key", quality.sole_failure("full@1").alias("sole")).collect()}
+    assert sole == {1: None, 2: "capitals", 3: "symbols", 4: "few_words", 5: "few_words", 6: "insults", 7: None}
+    found = {r.rule: (r.failing, r.only_here) for r in quality.ablations(ledger, "full@1").collect()}
+    assert {r: n for r, (_, n) in found.items() if n} == {k: list(sole.values()).count(k) for k in {*sole.values()} - {None}}
     assert found["few_words"] == (2, 2)
     assert found["capitals"] == (2, 1)
     assert found["exclamations"] == (1, 0)
