@@ -110,3 +110,27 @@ def champion(versions: DataFrame, runs: DataFrame, alias: str = "champion") -> D
     found = versions.where(F.col("alias") == alias).join(runs, "run_id")
     untraced = F.raise_error(F.concat(F.lit("no data id on run "), F.col("run_id")))
     return found.withColumn("data_id", F.coalesce("data_id", untraced.cast("string")))
+
+
+def ancestors(versions: DataFrame, version: str = "version", source: str = "source_version") -> DataFrame:
+    """``version, ancestor, generation``: everything a version was built from, directly or not.
+
+    ``versions`` holds a row for each version and source; the first versions have a null
+    source.  A source that is not listed is an ancestor without ancestors of its own.  A
+    version that is its own ancestor is an error.
+    """
+    edges = versions.select(F.col(version).cast("string").alias("version"), F.col(source).cast("string").alias("source")) \
+        .where("version is not null and source is not null").distinct()
+    # The path ends a branch that comes back to itself; without one it would not end.
+    found = versions.sparkSession.sql("""
+        WITH RECURSIVE up(version, ancestor, generation, path) MAX RECURSION LEVEL 10000 AS (
+          SELECT version, source, 1, array(version, source) FROM {edges}
+          UNION ALL
+          SELECT up.version, e.source, up.generation + 1, concat(up.path, array(e.source))
+          FROM up JOIN {edges} e ON e.version = up.ancestor
+          WHERE NOT array_contains(slice(up.path, 1, size(up.path) - 1), up.ancestor))
+        SELECT version, ancestor, min(generation) AS generation FROM up GROUP BY version, ancestor""", edges=edges)
+    circle = F.raise_error(F.concat(F.lit("a version is its own ancestor: "), F.col("version"))).cast("string")
+    return found.select(
+        "version", F.when(F.col("ancestor") == F.col("version"), circle).otherwise(F.col("ancestor")).alias("ancestor"),
+        "generation")

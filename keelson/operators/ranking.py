@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from keelson.session import materialize
 
 BINS = 4096
+#: Size of a quantile sketch, and how far its ranks may be off, as a share of the rows; a miss costs a fallback only.
+SKETCH_K, SKETCH_MARGIN = 4096, 0.002
 
 
 @dataclass
@@ -123,6 +125,61 @@ def _narrow(longs: DataFrame, ranges: list[_Range], bins: int) -> list[_Range]:
     return list(narrowed.values())
 
 
+def sketched_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], k: int = SKETCH_K,
+                        margin: float = SKETCH_MARGIN) -> dict[str, dict[int, float]]:
+    """``order_statistics`` in two reads of the table, exact as well.
+
+    The first read makes one mergeable sketch for each column, which brackets every
+    asked rank between two values.  The second counts the rows below each bracket, and
+    each value inside it.  Ranks inside a bracket come from running totals of its
+    values, spread over tasks.  A rank that its bracket misses is found by narrowing.
+    """
+    names = [c for c, wanted in ranks.items() if wanted]
+    if not names:
+        return {}
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in names}
+    numbers = df.select(*[value[c].alias(c) for c in names])
+    sketches = numbers.agg(*[p for c in names for p in (
+        F.kll_sketch_agg_double(c, k).alias(f"{c}:sketch"), F.count(c).alias(f"{c}:rows"))])
+    # One row: a sketch has a fixed size, whatever the number of rows.
+    made = sketches.first()
+    rows = {c: made[f"{c}:rows"] for c in names}
+    wanted = [(c, r) for c in names for r in sorted(set(ranks[c])) if 0 <= r < rows[c]]
+    held = sketches.sparkSession.createDataFrame([made], sketches.schema)
+
+    def end(column: str, rank: int, side: int) -> Column:
+        share = min(max((rank + 0.5) / rows[column] + side * margin, 0.0), 1.0)
+        return F.kll_sketch_get_quantile_double(F.col(f"`{column}:sketch`"), F.lit(share))
+
+    # A bracket's ends are values that occur.
+    ends = held.select(*[end(c, r, side).alias(f"{i}:{side}") for i, (c, r) in enumerate(wanted) for side in (-1, 1)]).first() \
+        if wanted else {}
+    asked = [(c, r, ends[f"{i}:-1"], ends[f"{i}:1"]) for i, (c, r) in enumerate(wanted)]
+    found: dict[str, dict[int, float]] = {c: {} for c in names}
+    if not asked:
+        return found
+    brackets = df.sparkSession.createDataFrame(
+        [(i, *a) for i, a in enumerate(asked)], "bracket int, column string, rank long, low double, high double")
+    # One row for each asked rank: always broadcast.
+    inside = numbers.unpivot([], names, "column", "value").where("value is not null").join(
+        F.broadcast(brackets), "column").where("value <= high")
+    counts = materialize(inside.groupBy("bracket", F.when(F.col("value") >= F.col("low"), F.col("value")).alias("value")).agg(
+        F.count(F.lit(1)).alias("n")), "brackets")
+    below = counts.where("value is null").select("bracket", F.col("n").alias("below"))
+    run = running_totals(counts.where("value is not null"), ["bracket"], "value", ["n"])
+    target = brackets.join(below, "bracket", "left").select(
+        "bracket", (F.col("rank") - F.coalesce("below", F.lit(0))).alias("target"))
+    hits = run.join(F.broadcast(target), "bracket").where("target >= cum_n - n and target < cum_n")
+    for row in hits.select("bracket", "value").collect():
+        column, rank, _, _ = asked[row["bracket"]]
+        found[column][rank] = row["value"]
+    missed = {c: [r for a, r, _, _ in asked if a == c and r not in found[c]] for c in names}
+    if any(missed.values()):
+        for c, more in order_statistics(df, missed).items():
+            found[c].update(more)
+    return found
+
+
 def kth_smallest(df: DataFrame, value: Column, k: int) -> float:
     """The value at 0-based position ``k`` of the ascending order."""
     hit = order_statistics(df.select(value.cast("double").alias("value")), {"value": [k]})

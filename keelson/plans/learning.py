@@ -7,10 +7,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from keelson.operators import clean, gram, splits, train, treescore
+from keelson.operators import clean, gram, ranking, splits, train, treescore
 from keelson.plans import standins as S
 from keelson.plans.encoding import _sets
-from keelson.plans.registry import query
+from keelson.plans.registry import query, rows_of
 from keelson.session import materialize
 
 ALPHAS = [0.1, 1.0, 10.0, 1e4, 1e6]
@@ -183,3 +183,19 @@ def boosted_classification_run(spark, folder):
 @query("M7 M9 M10 M12")
 def forest_classification_run(spark, folder):
     return _tree_run(spark, folder, "classification", "random_forest", {"numTrees": 16, "maxDepth": 8})
+
+
+_RANKED = ["l_extendedprice", "l_quantity", "l_discount"]
+
+
+@query("A5 M1 T9", " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", k, {c} AS value FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS k,
+  count(*) OVER () AS n FROM lineitem) WHERE k IN (0, n // 4, n // 2, 3 * n // 4, n - 1)""" for c in _RANKED))
+def order_statistics_by_sketch(spark, folder):
+    """Exact order statistics in two reads: a sketch brackets each rank, a count finds it."""
+    lines = rows_of(spark, folder, "lineitem")
+    n = lines.count()
+    ranks = [0, n // 4, n // 2, 3 * n // 4, n - 1]
+    found = ranking.sketched_statistics(lines, dict.fromkeys(_RANKED, ranks))
+    return spark.createDataFrame([(c, r, v) for c, values in found.items() for r, v in sorted(values.items())],
+                                 "column string, k long, value double")

@@ -193,6 +193,32 @@ def champion_lineage(spark, folder):
         "model_name", "run_id", "version", "data_id", "dataset_version", "test_rmse")
 
 
+# Every day's version was built from that of half its number.
+_ANCESTRY_SQL = f"""
+SELECT model_name || '-' || CAST(n AS VARCHAR) AS version,
+  CASE WHEN n > 1 THEN model_name || '-' || CAST(n // 2 AS VARCHAR) END AS source_version
+FROM (SELECT model_name, row_number() OVER (PARTITION BY model_name ORDER BY dt) AS n
+  FROM (SELECT DISTINCT model_name, dt FROM ({S.PREDICTIONS_SQL})))"""
+
+
+@query("J9 S12 M17", f"""
+WITH RECURSIVE v AS ({_ANCESTRY_SQL}), up AS (
+  SELECT version, source_version AS ancestor, 1 AS generation FROM v WHERE source_version IS NOT NULL
+  UNION ALL SELECT up.version, v.source_version, generation + 1 FROM up JOIN v ON v.version = up.ancestor
+  WHERE v.source_version IS NOT NULL)
+SELECT version, ancestor, generation FROM up""")
+def version_ancestry(spark, folder):
+    """All ancestors of every version, with their generation."""
+    from pyspark.sql import Window
+    days = S.predictions(spark, folder).select("model_name", "dt").distinct()
+    number = F.row_number().over(Window.partitionBy("model_name").orderBy("dt"))
+    numbered = days.select("model_name", number.cast("long").alias("n"))
+    name = lambda n: F.concat("model_name", F.lit("-"), n.cast("string"))
+    return history.ancestors(numbered.select(
+        name(F.col("n")).alias("version"),
+        F.when(F.col("n") > 1, name(F.floor(F.col("n") / 2))).alias("source_version")))
+
+
 _TASKS = ["extract", "validate", "train", "evaluate", "stop_no_deploy", "register", "deploy", "tidy"]
 TASK_STATES = {
     "run_id": "CAST(floor(event_id / 8) AS BIGINT)",

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from keelson.operators import daycounts, drift, gram, monitor, splits, train, treescore
+from keelson.operators import daycounts, drift, gram, history, monitor, ranking, splits, train, treescore
 
 
 @pytest.fixture(scope="module")
@@ -234,3 +234,45 @@ def test_a_run_with_stored_reference_counts_is_the_same(spark, spec, tmp_path):
         assert monitor.summarize(log, outcomes, df.limit(0), model, spec, reference_counts=counts, **given).first() == plainly
     assert built == [1]
     assert plainly["parts"]["prediction"] == "ok"
+
+
+def test_ancestors_of_versions(spark):
+    kind = "version string, source_version string"
+    rows = [("v1", None), ("v2", "v1"), ("v3", "v2"), ("v3", "side"), ("v4", "v3"), ("v4", "v3"), (None, "v1")]
+    found = {tuple(r) for r in history.ancestors(spark.createDataFrame(rows, kind)).collect()}
+    assert found == {("v2", "v1", 1), ("v3", "v2", 1), ("v3", "side", 1), ("v3", "v1", 2),
+                     ("v4", "v3", 1), ("v4", "v2", 2), ("v4", "side", 2), ("v4", "v1", 3)}
+    assert history.ancestors(spark.createDataFrame([], kind)).count() == 0
+    for circle in ([("a", "a")], [("a", "b"), ("b", "c"), ("c", "b")]):
+        with pytest.raises(Exception, match="own ancestor"):
+            history.ancestors(spark.createDataFrame(circle, kind)).collect()
+
+
+@pytest.mark.parametrize("margin", [0.002, 0.2, -0.3])
+def test_sketched_statistics_are_exact_in_two_reads(spark, margin, monkeypatch):
+    """A bracket that misses (negative margin) falls back to narrowing."""
+    rng = np.random.default_rng(1)
+    a = np.concatenate([rng.normal(size=20_000), [np.inf, -np.inf, np.nan], np.full(5000, 0.25)])
+    b = rng.integers(0, 7, len(a)).astype(float)
+    path_rows = [(float(x), float(y), None) for x, y in zip(a, b, strict=True)]
+    stored = spark.createDataFrame(path_rows, "a double, b double, c double").repartition(4).cache()
+    read = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+    table = stored.mapInArrow(watched, stored.schema)
+    fell_back = []
+    real = ranking.order_statistics
+    monkeypatch.setattr(ranking, "order_statistics", lambda *x, **y: fell_back.append(1) or real(*x, **y))
+    clean_a, n = np.sort(a[~np.isnan(a)]), len(a)
+    ranks = {"a": [0, 1, 777, 12_500, len(clean_a) - 1, 10**9], "b": [0, n // 2, n - 1], "c": [0]}
+    found = ranking.sketched_statistics(table, ranks, margin=margin)
+    assert found == {"a": {r: clean_a[r] for r in ranks["a"][:-1]}, "b": {r: np.sort(b)[r] for r in ranks["b"]}, "c": {}}
+    if margin > 0:
+        assert not fell_back
+        assert read.value == 2 * n
+    else:
+        assert fell_back
+    assert ranking.sketched_statistics(stored.limit(0), {"a": [0]}) == {"a": {}}
