@@ -172,7 +172,7 @@ def _header_row(h, block, path, offset, length, check):
         if check and _digest(payload) != digest:
             raise ValueError(f"the payload of {h['warc-record-id']} is damaged")
     else:
-        size = next(int(x.split(b": ")[1]) for x in http.split(b"\r\n") if x.startswith(b"Content-Length: "))
+        size = next((int(x.split(b": ")[1]) for x in http.split(b"\r\n") if x.startswith(b"Content-Length: ")), None)
     page = h.get("page-number")
     return (h["warc-record-id"], h["warc-type"], None if page is None else int(page), h.get("warc-target-uri"), size,
             base64.b32decode(digest.removeprefix("sha1:")).hex(), h.get("warc-refers-to"), path, offset, length)
@@ -187,23 +187,28 @@ def _header_batch(rows) -> pa.RecordBatch:
 
 
 def plan_revisits(headers: DataFrame, least_bytes: int = LEAST_SHARED_BYTES) -> DataFrame:
-    """Adds the original of each record that is to become a revisit: ``original_record, original_uri``.
+    """Adds the original of each record that is to be a revisit: ``original_record, original_uri``.
+
+    Only responses hold a payload, so only a response becomes an original.  Other
+    responses of its payload become revisits if it is large enough; records that are
+    revisits already, from archives deduplicated before, refer to the original of
+    their digest, whatever its size, and stay unresolved if no archive holds one.
 
     Headers only are shuffled by digest.  Each task first reduces a digest to one
     candidate; the join of records to originals can be split where one digest is hot.
     """
-    large = F.col("payload_bytes") >= least_bytes
     headers = materialize(headers, "headers")
     # Stored, so that both sides of the join are plain shuffles and a hot digest can be split.
-    originals = (headers.filter(large).groupBy("payload_digest", "payload_bytes")
-                 .agg(F.max(F.struct("page_id", "record_id", "uri")).alias("o"), F.count("*").alias("n"))
-                 .filter("n > 1").select("payload_digest", "payload_bytes", F.col("o.record_id").alias("original_record"),
-                                         F.col("o.uri").alias("original_uri")))
+    answer = F.when(F.col("record_type") == "response", F.struct("page_id", "record_id", "uri"))
+    originals = (headers.groupBy("payload_digest").agg(F.max(answer).alias("o"), F.count("*").alias("n"))
+                 .filter("n > 1 and o is not null").select("payload_digest", F.col("o.record_id").alias("original_record"),
+                                                           F.col("o.uri").alias("original_uri")))
     originals = materialize(originals, "originals")
-    joined = headers.join(originals.hint("merge"), ["payload_digest", "payload_bytes"], "left")
+    joined = headers.join(originals.hint("merge"), "payload_digest", "left")
     own = F.col("original_record") == F.col("record_id")
+    refers = (F.col("record_type") == "revisit") | ((F.col("payload_bytes") >= least_bytes) & ~own)
     return joined.select("record_id", "path", "offset", "length", *(
-        F.when(~own, F.col(c)).alias(c) for c in ("original_record", "original_uri")))
+        F.when(refers, F.col(c)).alias(c) for c in ("original_record", "original_uri")))
 
 
 def fresh_id(record_id: str) -> str:
@@ -231,14 +236,17 @@ def write_deduplicated(planned: DataFrame, date: str = "2024-01-01T00:00:00Z") -
                     path, source = where, fs.open_input_file(place)
                 headers, block = parse(zlib.decompress(source.read_at(length, offset), 31))
                 page, uri, digest = headers.get("page-number"), headers.get("warc-target-uri"), headers["warc-payload-digest"]
-                if original is None:
+                if original is None and headers["warc-type"] == "response":
                     out.add(_response(fresh_id(old), page, uri, date, block, digest))
                     continue
+                # The response of an unresolved revisit is in none of these archives and keeps its name.
+                target = headers.get("warc-refers-to") if original is None else fresh_id(original)
+                address = headers.get("warc-refers-to-target-uri") if original is None else address
                 own = [("WARC-Type", "revisit"), ("WARC-Record-ID", fresh_id(old)), ("WARC-Date", date)]
                 own += [("WARC-Target-URI", uri)] if uri is not None else []
                 own += [("Page-Number", page)] if page is not None else []
-                own += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", fresh_id(original)),
-                        ("WARC-Refers-To-Date", date)]
+                own += [("WARC-Profile", REVISIT_PROFILE)]
+                own += [("WARC-Refers-To", target), ("WARC-Refers-To-Date", date)] if target is not None else []
                 own += [("WARC-Refers-To-Target-URI", address)] if address is not None else []
                 own += [("WARC-Payload-Digest", digest), ("Content-Type", "application/http; msgtype=response")]
                 out.add(record(own, block.partition(b"\r\n\r\n")[0] + b"\r\n\r\n"))
@@ -254,7 +262,7 @@ def write_deduplicated(planned: DataFrame, date: str = "2024-01-01T00:00:00Z") -
 def resolve(headers: DataFrame) -> DataFrame:
     """Adds ``refers_to``: the page number of the response that a revisit stands for.
 
-    Fails the row with null if there is no such response.
+    Null where the archives hold no such response.
     """
     answers = headers.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"))

@@ -61,9 +61,30 @@ def test_damage_is_found(pages):
     data[len(data) // 2] ^= 0xFF
     with fs.open_output_stream(place, compression=None) as out:
         out.write(bytes(data))
-    with pytest.raises(Exception, match=""):
+    with pytest.raises(Exception, match=r"damaged|not a record|wrong place|Error -3|decompress"):
         warc.read_headers(manifest).collect()
 
 
 def test_empty_table(spark):
     assert warc.deduplicate(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_archives_that_hold_revisits_already(spark):
+    """Deduplicated archives beside new ones, and a revisit whose response is nowhere."""
+    kind = "page_id long, url string, html string"
+    big, late, small = "x" * 1500, "y" * 2000, "z" * 10
+    old = spark.createDataFrame([(1, "a", big), (50, "b", big), (2, "c", late), (3, "d", small)], kind)
+    new = spark.createDataFrame([(7, "e", big), (8, "f", late), (60, "g", late), (9, "h", small)], kind)
+    before = warc.read_headers(warc.write_deduplicated(warc.plan_revisits(warc.read_headers(warc.write_pages(old)))))
+    fresh = warc.read_headers(warc.write_pages(new))
+    lost = before.filter("page_id = 50")  # the response of page 1 went away; page 7 holds the payload anew
+    mixed = before.unionByName(fresh).join(lost.select("record_id"), "record_id", "left_anti").select(before.columns)
+    found = warc.resolve(warc.read_headers(warc.write_deduplicated(warc.plan_revisits(mixed)))).collect()
+    got = {r.page_id: (r.record_type, r.refers_to) for r in found}
+    assert got == {1: ("revisit", 7), 7: ("response", None), 2: ("revisit", 60), 8: ("revisit", 60), 60: ("response", None),
+                   3: ("response", None), 9: ("response", None)}
+    alone = warc.resolve(warc.read_headers(warc.write_deduplicated(warc.plan_revisits(before.filter("page_id in (1, 3)"))))).collect()
+    assert {r.page_id: (r.record_type, r.refers_to) for r in alone} == {1: ("revisit", None), 3: ("response", None)}
+    kept = next(r for r in alone if r.page_id == 1)
+    assert kept.refers_to_record == next(r.record_id for r in before.collect() if r.page_id == 50)
+    assert kept.payload_bytes == 1500
