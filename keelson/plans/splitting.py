@@ -90,7 +90,9 @@ FIRST_SQL = (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY property
 
 @query("T4", f"SELECT * EXCLUDE (nth) FROM ({FIRST_SQL})")
 def first_per_id(spark, folder):
-    return rows.dedup_first(S.raw_houses(spark, folder), ["property_id"], [F.col("row_key")])
+    # Lines are sorted and moved, and only those that stay are written out as the wide texts of a house.
+    lines = S.keyed_lines(S.raw_lines(spark, folder))
+    return S.houses_of(rows.dedup_first(lines, ["property_id"], [F.col("row_key")]))
 
 
 @query("T5", f"""

@@ -166,10 +166,20 @@ def _build(df: DataFrame, rules: dict[str, str], columns: list[str] | None = Non
 def raw_houses(spark: SparkSession, folder: str, columns: list[str] | None = None, *,
                file_order: bool = False) -> DataFrame:
     """A dirty all-text house table, one row per order line, ids repeated."""
-    lines = raw_lines(spark, folder, file_order=file_order)
+    return houses_of(raw_lines(spark, folder, file_order=file_order), columns)
+
+
+def houses_of(lines: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The house rows of some order lines."""
     return _build(_build(lines, _BASE), HOUSE_RULES, columns)
 
 
+def keyed_lines(lines: DataFrame) -> DataFrame:
+    """Order lines with the id and the key of their house row: narrower than house rows, for steps that move them."""
+    return _build(lines, {c: c for c in lines.columns} | {c: e for c, e in HOUSE_RULES.items() if c == "property_id"}
+                  | {"row_key": _BASE["row_key"]})
+
+
 def raw_lines(spark: SparkSession, folder: str, *, file_order: bool = False) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     return lines if file_order else spread(lines)
