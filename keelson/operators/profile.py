@@ -81,8 +81,19 @@ def validate(df: DataFrame, spec: TableSpec, task: str, *, blanks_missing: bool
     ``blanks_missing`` counts empty text as missing; without it only nulls
     count, which is what an all-text table never has.
     """
-    spec.check_task(task)
+    return validate_tasks(df, spec, [task], blanks_missing=blanks_missing)[task]
+
+
+def validate_tasks(df: DataFrame, spec: TableSpec, tasks: Sequence[str], *,
+                   blanks_missing: bool = True) -> dict[str, dict]:
+    """``validate`` for several tasks: they differ in their verdict only, so the table is measured once."""
+    for task in tasks:
+        spec.check_task(task)
     row = validation_row(clean.blanks_as_null(df) if blanks_missing else df, spec).first().asDict()
+    return {task: _verdict(df, spec, task, row) for task in tasks}
+
+
+def _verdict(df: DataFrame, spec: TableSpec, task: str, row: dict) -> dict:
     fatal = []
     absent = sorted(set(spec.names) - set(df.columns))
     if absent:
@@ -130,13 +141,15 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for c in columns
     }
     read = df.select(*[v.alias(c) for c, v in values.items()])
-    longs = read.unpivot([], list(columns), "column", "value")
-    stats = longs.groupBy("column").agg(
-        F.when(F.count(F.lit(1)) > 0, 1 - F.count("value") / F.count(F.lit(1))).alias("missing_rate"),
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
+    total = F.count(F.lit(1))
+    # Side by side, so that no row is copied for each column; no rows give no statistics.
+    stats = read.agg(total.alias("_total"), F.array(*[F.struct(
+        F.lit(c).alias("column"),
+        F.when(total > 0, 1 - F.count(c) / total).alias("missing_rate"),
+        F.count(c).alias("n"),
+        F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+        F.min(c).alias("min"), F.max(c).alias("max"),
+    ) for c in columns]).alias("_stats")).where("_total > 0").select(F.inline("_stats"))
     rows = df.sparkSession.createDataFrame(stats.collect(), stats.schema)
     counts = {r["column"]: r["n"] for r in rows.collect()}
     quartiles = ranking.linear_quantiles(read, list(columns), (0.25, 0.5, 0.75),
@@ -155,10 +168,10 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
     A column holding one value gets bins around it, half a unit to each side.
     Only counts per (column, bin) are shuffled.
     """
-    longs = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "value"
-    ).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    ends = longs.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    longs = numbers.unpivot([], list(columns), "column", "value").where("value is not null")
+    ends = numbers.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.min(c).alias("lo"), F.max(c).alias("hi"))
+                                 for c in columns]).alias("ends")).select(F.inline("ends")).where("lo is not null")
     flat = F.col("lo") == F.col("hi")
     ends = ends.select("column",
                        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),

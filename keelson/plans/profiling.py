@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from keelson.operators import clean, profile, ranking
 from keelson.plans import standins as S
 from keelson.plans.registry import query, rows_of
+from keelson.session import materialize
 from keelson.spec import NUMBER_KINDS
 
 
@@ -57,11 +58,9 @@ FROM (SELECT 'regression' AS task, CASE WHEN trim(sale_price) = '' OR sale_price
   ELSE 0.0E0 END FROM ({S.HOUSES_SQL})) GROUP BY 1""")
 def validation_verdicts(spark, folder):
     raw = S.raw_houses(spark, folder, S.SPEC.names)
-    verdicts = []
-    for task in S.SPEC.targets:
-        report = profile.validate(raw, S.SPEC, task)
-        verdicts.append((task, report["ok"], len(report["fatal"])))
-    return spark.createDataFrame(verdicts, "task string, ok boolean, n_fatal int")
+    reports = profile.validate_tasks(raw, S.SPEC, list(S.SPEC.targets))
+    return spark.createDataFrame([(task, r["ok"], len(r["fatal"])) for task, r in reports.items()],
+                                 "task string, ok boolean, n_fatal int")
 
 
 _SPARSE = "substr(row_key, 1, 1) < '5'"
@@ -181,5 +180,7 @@ def _as_number(name: str) -> str:
                               f"FROM ({S.CLEAN_SQL})", _NUMBERS))
 def baseline_profile(spark, folder):
     """The numeric section of a cleaned table's baseline."""
-    cleaned = clean.clean_table(S.raw_houses(spark, folder, _FEATURES), S.SPEC, split_date=False)
+    # Stored, as the profile reads its numbers several times.
+    cleaned = materialize(clean.clean_table(S.raw_houses(spark, folder, _FEATURES), S.SPEC, split_date=False),
+                          "cleaned")
     return _rounded(profile.compute_profile(cleaned, S.SPEC, _FEATURES)["numeric"])
