@@ -9,6 +9,7 @@ from keelson.functions import parse
 from keelson.operators import clean, rows, scenario
 from keelson.plans import standins as S
 from keelson.plans.registry import query, table
+from keelson.session import materialize
 
 
 def _reader(column: str, value) -> callable:
@@ -212,9 +213,10 @@ FROM ({S.HOUSES_SQL}), (VALUES ('none'), ('price_inflation'), ('market_rally'),
 def scenarios(spark, folder):
     raw = S.raw_houses(spark, folder,
                        ["row_key", "list_price", "city", "property_type", "sale_price"])
-    label = clean.task_label(raw, S.SPEC, "regression")
+    # Stored with their outcome, as every scenario reads them.
+    pool = materialize(raw.withColumn("label", clean.task_label(raw, S.SPEC, "regression")), "pool")
     parts = [
-        scenario.build_requests(raw, label, name, "regression", "sale_price")
+        scenario.build_requests(pool, F.col("label"), name, "regression", "sale_price").drop("label")
         .withColumn("scenario", F.lit(name)) for name in scenario.SCENARIOS
     ]
     out = parts[0]
