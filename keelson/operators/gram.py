@@ -78,6 +78,17 @@ def grams(vectors: DataFrame, label: str, block: Column | None = None, features:
     if first is None:
         return {}
     size = first["n"]
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    if len(pairs) <= SUMS_IN_ROW:
+        # All sums of a short vector are one aggregate row, so rows are not copied for each entry.
+        found = {}
+        sums = rows.groupBy("block").agg(*[
+            F.sum(F.get("z", F.lit(i)) * F.get("z", F.lit(j))).alias(f"s{k}") for k, (i, j) in enumerate(pairs)])
+        for row in sums.collect():
+            matrix = found.setdefault(row["block"], np.zeros((size, size)))
+            for k, (i, j) in enumerate(pairs):
+                matrix[i, j] = matrix[j, i] = row[f"s{k}"] or 0.0
+        return {b: Gram(m) for b, m in sorted(found.items())}
     parts = -(-size // SUMS_IN_ROW)
     # One row for each entry that is not zero, and for each stretch of entries it is multiplied with.
     entries = rows.select("block", "z", F.posexplode("z").alias("i", "v")).where("v <> 0").select(
