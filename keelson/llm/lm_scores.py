@@ -24,6 +24,7 @@ told apart by 64-bit hashes.
 from __future__ import annotations
 
 import os
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +40,30 @@ CUTOFF = 1
 #: Text in a block, and n-grams in a part of the table for which parts are made.
 BLOCK_BYTES = 3 << 20
 PART_NGRAMS = 1_000_000
+#: Bytes before compression, ahead of each packed array.
+SIZE = "<I"
+#: Arrays of fewer bytes are left to the codec of the shuffle.
+LEAST_PACKED = 1024
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Numbers by byte place, so that leading zeros of all of them lie together."""
+    """Numbers by byte place, so that leading zeros of all of them lie together, as one zstd frame.
+
+    Most counts are ones: entropy coding makes much less of them than the codec of the shuffle.
+    A short array stays as it is (size 0): there the frame would cost what it saves.
+    """
     size = values.dtype.itemsize
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, size).T).tobytes()
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, size).T).tobytes()
+    if len(planes) < LEAST_PACKED:
+        return struct.pack(SIZE, 0) + planes
+    return struct.pack(SIZE, len(planes)) + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def unpacked(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(data, np.uint8).reshape(size, -1)
+    size, head = np.dtype(kind).itemsize, struct.calcsize(SIZE)
+    (length,) = struct.unpack(SIZE, data[:head])
+    plain = pa.decompress(data[head:], length, codec="zstd") if length else data[head:]
+    planes = np.frombuffer(plain, np.uint8).reshape(size, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 

@@ -4,6 +4,8 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from keelson.llm import lm_scores
@@ -47,3 +49,17 @@ def test_no_words(rows_of):
     found = lm_scores.scores(rows_of([(1, None), (2, " ")])).collect()
     assert sorted(map(tuple, found)) == [(1, 0, 0.0, None), (2, 0, 0.0, None)]
     assert lm_scores.scores(rows_of([])).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 100, 50_000])
+@pytest.mark.parametrize("kind", [np.uint32, np.int32, np.uint64])
+def test_packed_arrays_come_back(n, kind):
+    values = np.minimum(np.random.default_rng(n).zipf(2.0, n), 2**31 - 1).astype(kind)
+    assert np.array_equal(lm_scores.unpacked(lm_scores.packed(values), kind), values)
+
+
+def test_packed_counts_take_less_than_the_shuffle_makes_of_them():
+    counts = np.minimum(np.random.default_rng(4).zipf(2.0, 100_000), 2**31 - 1).astype(np.uint32)
+    planes = np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 4).T).tobytes()
+    shuffled = pa.compress(lm_scores.packed(counts), codec="lz4", asbytes=True)
+    assert len(shuffled) < 0.7 * len(pa.compress(planes, codec="lz4", asbytes=True))
