@@ -59,6 +59,7 @@ OPENERS = frozenset(
     "quién se si sin sobre su sus todo un una y ya".split())
 _MARK = "\x01"
 _DOUBT = "q"
+_START = "\x02"
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~“”‘’„«»…–—¿¡"
 _SPACE = r"[ \t\n\x0B\f\r]+"
 
@@ -68,15 +69,18 @@ def _names_marked(text: Column, known: list[str] | None) -> Column:
     after = F.regexp_replace(text, r"(?<=[\p{Ll},;] )(\p{Lu}\p{Ll}[\p{L}’'-]*)", f"{_MARK}p$1")
     if known is None:
         return after
-    doubtful = F.regexp_replace(after, r"(?<!\S)([^\p{L}\p{N}\s\x01]*)(\p{Lu})", f"$1{_MARK}{_DOUBT}$2")
+    # A word in doubt is marked at its start too, so that only such words are looked up, not all.
+    doubtful = F.regexp_replace(after, r"(?<!\S)([^\p{L}\p{N}\s\x01]*)(\p{Lu})", f"{_START}$1{_MARK}{_DOUBT}$2")
 
-    def settled(word: Column) -> Column:
+    def settled(part: Column) -> Column:
+        word = F.regexp_extract(part, r"^\S*", 0)
         plain = F.translate(F.lower(word), _PUNCTUATION + _MARK, "")
-        return F.when(F.instr(word, _MARK + _DOUBT) == 0, word).when(
-            F.substring(plain, 2, 1 << 20).isin(known), F.regexp_replace(word, _MARK + _DOUBT, "")).otherwise(
-            F.regexp_replace(word, _MARK + _DOUBT, f"{_MARK}p"))
-    words = F.array_join(F.transform(F.split(doubtful, _SPACE), settled), " ")
-    return F.regexp_replace(words, r"(\x01p(?:[\p{L}’'-]+|\p{Lu}\.)) (?=\x01p)", "$1")
+        return F.when(F.instr(part, _MARK + _DOUBT) == 0, F.concat(F.lit(_START), part)).when(
+            F.substring(plain, 2, 1 << 20).isin(known), F.regexp_replace(part, _MARK + _DOUBT, "")).otherwise(
+            F.regexp_replace(part, _MARK + _DOUBT, f"{_MARK}p"))
+    parts = F.split(doubtful, _START)
+    words = F.array_join(F.transform(parts, lambda part, k: F.when(k == 0, part).otherwise(settled(part))), "")
+    return F.regexp_replace(words, rf"(\x01p(?:[\p{{L}}’'-]+|\p{{Lu}}\.)){_SPACE}(?=\x01p)", "$1")
 
 
 def slots_marked(text: Column, known: list[str] | None = None) -> Column:
@@ -115,6 +119,21 @@ def windows(words: Column, window: int, stride: int) -> Column:
         i.alias("at"), F.xxhash64(F.slice(words, i + 1, F.lit(window))).alias("hash")))
 
 
+def texts_windows(texts: DataFrame, window: int, stride: int) -> DataFrame:
+    """``node, at, hash`` of the windows of ``words``, the same as ``windows`` has.
+
+    All windows are laid out as columns, a copy of the words for each place in them: compiled
+    code hashes these, while ``windows`` cuts and hashes one after the other, uncompiled.
+    """
+    if stride > 1:
+        return texts.select("node", F.explode(windows(F.col("words"), window, stride)).alias("w")).select(
+            "node", F.col("w.at").alias("at"), F.col("w.hash").alias("hash"))
+    n = F.greatest(F.size("words") - window + 1, F.lit(0))
+    shifted = F.arrays_zip(*(F.slice("words", F.lit(k + 1), n).alias(f"w{k}") for k in range(window)))
+    return texts.select("node", F.posexplode(shifted).alias("at", "w")).select(
+        "node", "at", F.xxhash64(*(F.col(f"w.w{k}") for k in range(window))).alias("hash"))
+
+
 def item_templates(items: DataFrame, known: list[str], item: str = "item_id", text: str = "text") -> DataFrame:
     marked = items.select(*named(item=item, body=text)).select(
         "item", slots_marked(text_of("body"), known).alias("marked"), plain_words(text_of("body")).alias("plain"))
@@ -133,8 +152,7 @@ def _candidates(texts: DataFrame, items: DataFrame, window: int, stride: int, le
     own = items.select("item", F.explode(windows(F.col("words"), window, 1)).alias("w"), "words")
     literal = F.size(F.filter(F.slice("words", F.col("w.at") + 1, window), lambda x: ~x.startswith(_MARK)))
     own = own.filter(literal >= min(least_literal, window)).select("item", F.col("w.at").alias("item_at"), F.col("w.hash").alias("hash"))
-    found = texts.select("node", F.explode(windows(F.col("words"), window, stride)).alias("w")).select(
-        "node", F.col("w.at").alias("at"), F.col("w.hash").alias("hash"))
+    found = texts_windows(texts, window, stride)
     return found.join(small_side(own), "hash").select(
         "node", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
 
