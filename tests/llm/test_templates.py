@@ -87,3 +87,12 @@ def test_other_names_wherever_they_stand(spark):
              ("Suppose " + ITEM.removeprefix("Yesterday morning ").replace("Alice", "Robert"), 2)]
     found = find(spark, [t for t, _ in pairs], [pens, apples, ITEM.removeprefix("Yesterday morning ")])
     assert set(found) == {(k, i) for k, (_, i) in enumerate(pairs)}
+
+
+def test_windows_of_texts_equal_those_of_items(spark):
+    texts = spark.createDataFrame([(k, [f"w{j % 5}" for j in range(n)]) for k, n in enumerate((0, 1, 6, 7, 8, 40))],
+                                  "node int, words array<string>")
+    for window, stride in ((7, 1), (3, 1), (7, 6)):
+        own = texts.select("node", templates.F.explode(templates.windows(templates.F.col("words"), window, stride)).alias("w"))
+        want = sorted((r["node"], r["w"]["at"], r["w"]["hash"]) for r in own.collect())
+        assert sorted(map(tuple, templates.texts_windows(texts, window, stride).collect())) == want
