@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.frames import named
+from keelson.llm.frames import named, tidy
 
 #: So much text is encoded together.
 CHUNK_BYTES = 8 << 20
@@ -276,7 +276,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                     names=["key", "ids", "decoded"])
 
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, ids array<int>, decoded string")
+    return rows.mapInArrow(tidy(run), f"key {kind}, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -297,4 +297,4 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                 names=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(tidy(run), f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

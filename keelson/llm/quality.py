@@ -18,11 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm import toxicity
-from keelson.llm.frames import named
+from keelson.llm.frames import named, tidy
 from keelson.llm.wordstream import Piece, lowered, mix, pieces, run_hashes, window_hashes
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
             "n_letters", "n_upper", "n_shouted", "n_insults")
+#: Text that is measured at a time: its arrays are many times as large.
+MEASURED_BYTES = toxicity.COUNTED_BYTES
 #: Words of a repeated window.
 WINDOW = 8
 #: Words of abuse, counted without case and outer punctuation.
@@ -167,7 +169,7 @@ def _measure(batches, model: toxicity.Model | None = None):
     kinds = {m: pa.int64() for m in MEASURES} | ({} if model is None else {"toxicity": pa.float64()})
     for batch in batches:
         carried = batch.columns[:-1]
-        for piece in pieces(batch.columns[-1]):
+        for piece in pieces(batch.columns[-1], MEASURED_BYTES):
             found = measure_piece(piece)
             if model is not None:
                 langs = carried[-1].slice(piece.row, piece.n_texts).to_pylist()
@@ -181,7 +183,7 @@ def _measure(batches, model: toxicity.Model | None = None):
 def _ledger(rows: DataFrame, model: toxicity.Model | None = None) -> DataFrame:
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
     kinds += [f"{m} long" for m in MEASURES] + ([] if model is None else ["toxicity double"])
-    measured = rows.mapInArrow(lambda batches: _measure(batches, model), ", ".join(kinds))
+    measured = rows.mapInArrow(tidy(lambda batches: _measure(batches, model)), ", ".join(kinds))
     rules = RULES if model is None else (*RULES, TOXIC)
     bits = [F.when(F.expr(rule), F.lit(1 << k).cast("long")).otherwise(0) for k, (_, rule) in enumerate(rules)]
     failed = bits[0]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.frames import named, small_side, text_of
+from keelson.llm.frames import named, small_side, text_of, tidy
 from keelson.llm.wordstream import Piece, pieces, window_hashes, window_minima
 from keelson.session import materialize
 
@@ -136,7 +136,7 @@ def repeated_places(docs: DataFrame, window: int = 35, text: str = "text") -> Da
     """
     texts = docs.select(*named(text=text)).select(_node(), text_of().alias("text"))
     lengths = levels(window)
-    first = texts.mapInArrow(lambda b: _first_level(b, lengths[0], window),
+    first = texts.mapInArrow(tidy(lambda b: _first_level(b, lengths[0], window)),
                              "node binary, n_words int, at array<int>, hash array<long>")
     nodes = materialize(first.groupBy("node").agg(
         F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("at").alias("at"),
@@ -149,7 +149,7 @@ def repeated_places(docs: DataFrame, window: int = 35, text: str = "text") -> Da
         some = texts.join(small_side(found.select("node")), "node", "left_semi").dropDuplicates(["node"])
         survivors = some.join(found.hint("merge"), "node")
         step = survivors.select("node", "text", "at").mapInArrow(
-            lambda b: _from_texts(b, lengths[0], lengths[1], window), _SEGMENT)
+            tidy(lambda b: _from_texts(b, lengths[0], lengths[1], window)), _SEGMENT)
         for length, longer in zip(lengths[1:], [*lengths[2:], 0], strict=True):
             segments = materialize(step, "segments")
             found = _repeated(segments, ["node", "begin"])
@@ -165,7 +165,7 @@ def repeated_places(docs: DataFrame, window: int = 35, text: str = "text") -> Da
 def _next_step(segments: DataFrame, found: DataFrame, length: int, longer: int, window: int) -> DataFrame:
     rows = segments.select("node", "begin", "words").join(found.hint("merge"), ["node", "begin"])
     return rows.select("node", "begin", "words", "at").mapInArrow(
-        lambda b: _from_segments(b, length, longer, window), _SEGMENT)
+        tidy(lambda b: _from_segments(b, length, longer, window)), _SEGMENT)
 
 
 def _node():
@@ -231,4 +231,4 @@ def remove_repeats(docs: DataFrame, window: int = 35, carry: tuple[str, ...] = (
         places.select(F.col("node").alias("__node"), F.col("copies").alias("__copies"), F.col("at").alias("__at"))
         .hint("merge"), "__node", "left").select(*(F.col(f"`{c}`") for c in carry), text_of("__text").alias("__text"), "__copies", "__at")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-3])
-    return rows.mapInArrow(lambda b: _cut(b, window), f"{kinds}, n_words long, n_removed long, kept string")
+    return rows.mapInArrow(tidy(lambda b: _cut(b, window)), f"{kinds}, n_words long, n_removed long, kept string")

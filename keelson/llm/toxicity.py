@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.frames import named, small_side
+from keelson.llm.frames import named, small_side, tidy
 from keelson.llm.wordstream import Piece, lowered, mix, pieces, run_hashes
 from keelson.session import materialize
 
@@ -34,6 +34,8 @@ SAMPLE, LEAST_TEXTS = 2000, 20
 KEPT, LEAST_Z = 100, 4.0
 #: Bytes of a word's beginning; the last stands for the whole word.
 LENGTHS = (4, 5, 6, 8, 1 << 20)
+#: Text whose beginnings are counted at a time.
+COUNTED_BYTES = 256 << 10
 #: From this score on a text counts as toxic.
 THRESHOLD = 0.5
 
@@ -79,13 +81,16 @@ def _values(counts: np.ndarray, n_words: np.ndarray) -> np.ndarray:
 def _present(batches):
     """``lang, toxic, hash`` of each distinct beginning of a text."""
     for batch in batches:
-        for piece in pieces(batch.column("text")):
-            found = [np.unique(np.column_stack([t.astype(np.uint64), h]), axis=0) for t, h in beginnings(piece)]
-            both = np.concatenate(found) if found else np.empty((0, 2), np.uint64)
-            rows = pa.array(both[:, 0].astype(np.int64) + piece.row)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("lang").take(rows), batch.column("toxic").take(rows), pa.array(both[:, 1].astype(np.int64))],
-                names=["lang", "toxic", "hash"])
+        for piece in pieces(batch.column("text"), COUNTED_BYTES):
+            for text, hashes in beginnings(piece):
+                order = np.lexsort((hashes, text))
+                text, hashes = text[order], hashes[order]
+                new = np.ones(len(text), bool)
+                new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
+                rows = pa.array(text[new] + piece.row)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("lang").take(rows), batch.column("toxic").take(rows), pa.array(hashes[new].view(np.int64))],
+                    names=["lang", "toxic", "hash"])
 
 
 def _weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -122,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sizes = {k: v for k, v in sizes.items() if min(v.get(0, 0), v.get(1, 0)) >= LEAST_TEXTS}
     if not sizes:
         return Model({})
-    counts = texts.mapInArrow(_present, "lang string, toxic int, hash long").groupBy("lang", "hash").agg(
+    counts = texts.mapInArrow(tidy(_present), "lang string, toxic int, hash long").groupBy("lang", "hash").agg(
         F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     many = F.broadcast(texts.sparkSession.createDataFrame([(k, v[1], v[0]) for k, v in sizes.items()], "lang string, p long, n long"))
     share = (F.col("a") + F.col("b")) / (F.col("p") + F.col("n"))
@@ -136,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def described(batches):
         for batch in batches:
-            for piece in pieces(batch.column("text")):
+            for piece in pieces(batch.column("text"), COUNTED_BYTES):
                 langs = batch.column("lang").slice(piece.row, piece.n_texts).to_pylist()
                 kinds = batch.column("toxic").slice(piece.row, piece.n_texts)
                 out = [None] * piece.n_texts
@@ -147,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                             out[k] = values[k].tolist()
                 yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), kinds, pa.array(out, pa.list_(pa.float64()))],
                                                  names=["lang", "toxic", "x"])
-    rows = texts.mapInArrow(described, "lang string, toxic int, x array<double>").filter("x IS NOT NULL").collect()
+    rows = texts.mapInArrow(tidy(described), "lang string, toxic int, x array<double>").filter("x IS NOT NULL").collect()
     languages = {}
     for lang, known in best.items():
         own = [r for r in rows if r["lang"] == lang]

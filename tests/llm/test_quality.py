@@ -1,12 +1,15 @@
 """The ledger against brute force, and policies over it."""
 
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.llm import quality
+from keelson.llm import frames, quality, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -57,3 +60,29 @@ def test_passing_keeps_whole_rows(rows_of, prose):
 def test_empty_table(rows_of):
     assert quality.ledger(rows_of([])).count() == 0
     assert quality.ablations(quality.ledger(rows_of([])), "full").agg(F.sum("failing")).first()[0] == 0
+
+
+def test_measuring_needs_little_memory():
+    """Arrays over the words are many times as large as the text, so little of it is measured at a time."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 10**6, 1000)) for _ in range(500)]
+    known = np.sort(rng.integers(0, 2**63, 100).astype(np.uint64))
+    model = toxicity.Model({"en": (known, np.zeros(102))})
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 500), pa.array([1] * 500, pa.int32()), pa.array(texts)], names=["lang", "toxic", "text"])
+    for run in (lambda: quality._measure([batch.select(["lang", "text"])], model), lambda: toxicity._present([batch])):
+        tracemalloc.start()
+        for _ in run():
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 40 << 20, peak
+
+
+def test_memory_goes_back_when_a_task_ends(monkeypatch):
+    given = []
+    monkeypatch.setattr(frames, "give_back", lambda: given.append(1))
+    assert list(frames.tidy(lambda batches: (2 * b for b in batches))(iter([1, 2]))) == [2, 4]
+    left = frames.tidy(lambda batches: (b for b in batches))(iter([1, 2]))
+    next(left)
+    left.close()
+    assert len(given) == 2
