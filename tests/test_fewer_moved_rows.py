@@ -1,8 +1,11 @@
 """Whole rows are neither moved nor stored unless a set needs them."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from keelson.operators import rows, splits
+from keelson.plans import encoding
 
 
 def test_key_filter_loses_no_partner_and_drops_most_others(spark):
@@ -32,3 +35,17 @@ def test_plan_moves_few_whole_rows(spark, spec, monkeypatch):
         want = sorted(r["row_key"] for r in first.values() if r["row_key"] in keys)
         assert want and sorted(r["row_key"] for r in got.collect()) == want
     assert moved[0].count() < 1000
+
+
+def test_training_runs_store_no_copy_of_the_raw_table(spark, tmp_path, monkeypatch):
+    lines = [(k // 3, k * 7 % 400, k % 50, k % 4, float(k % 50), 1000.0 + k, 0.05, 0.02, "N", "O",
+              datetime(2020, 1 + k % 12, 3)) for k in range(600)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                          "l_linestatus string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    stored, plain = [], rows.materialize
+    for module in (rows, encoding):
+        monkeypatch.setattr(module, "materialize", lambda df, label: stored.append(label) or plain(df, label))
+    learn, test = encoding._sets(spark, str(tmp_path), "regression")
+    assert learn.count() > 0 and test.count() > 0
+    assert stored == ["plan", "sets"]
